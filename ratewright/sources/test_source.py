@@ -1,0 +1,38 @@
+"""One lookup for every input table of the test book."""
+
+from __future__ import annotations
+
+from functools import cache
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ratewright.params import Params
+from ratewright.plans.book import Book
+from ratewright.sources.test_assumptions import TestAssumptions
+from ratewright.sources.testdata import TEST_PARAMS, TestBook
+
+
+@cache
+def _raw_tables(spark: SparkSession, sf_dir: str, params: Params) -> TestBook:
+    """The raw tables as plans; nothing is computed or held."""
+    return TestBook(spark, sf_dir, params)
+
+
+def test_book(spark: SparkSession, sf_dir: str, params: Params = TEST_PARAMS) -> Book:
+    """The pricing lineage over one directory of test tables."""
+    raw = _raw_tables(spark, sf_dir, params)
+    assumptions = TestAssumptions(raw)
+    known: dict[str, DataFrame] = {}
+
+    def source(name: str) -> DataFrame:
+        if name not in known:
+            owner = raw if name.startswith("raw_") else assumptions
+            known[name] = getattr(owner, name)()
+        return known[name]
+
+    book = Book(spark, source, params)
+    book.test_raw, book.test_assumptions = raw, assumptions
+    return book
+
+
+test_book.__test__ = False
