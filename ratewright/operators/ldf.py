@@ -6,7 +6,7 @@ development. That table is small whatever the size of the book.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ratewright.functions.money import ratio
@@ -18,17 +18,21 @@ MEASURES = {
     "incurred": ("cumulative_incurred", "incurred"),
     "claim_count": ("cumulative_claim_count", "cnt"),
 }
-_BY_DEV = Window.partitionBy(*SEGMENT, "accident_year").orderBy("development")
 _CELL = [*SEGMENT, "development"]
 
 
+def _by_development() -> WindowSpec:
+    return Window.partitionBy(*SEGMENT, "accident_year").orderBy("development")
+
+
 def ldf_raw(triangle: DataFrame) -> DataFrame:
     """Ratio of the next cell to this one, per accident year."""
+    by_dev = _by_development()
     return triangle.select(
         *SEGMENT,
         "accident_year",
         "development",
-        *[ratio(F.lead(c).over(_BY_DEV), F.col(c)).alias(f"link_ratio_{s}") for c, s in MEASURES.values()],
+        *[ratio(F.lead(c).over(by_dev), F.col(c)).alias(f"link_ratio_{s}") for c, s in MEASURES.values()],
     )
 
 
@@ -41,8 +45,9 @@ def ldf_avg(raw: DataFrame) -> DataFrame:
 
 def development_pairs(triangle: DataFrame) -> DataFrame:
     """Cells that have a successor exactly one development later, with both values."""
-    ahead = {f"next_{c}": F.lead(c).over(_BY_DEV) for c, _ in MEASURES.values()}
-    return triangle.withColumns({**ahead, "next_development": F.lead("development").over(_BY_DEV)}).where(
+    by_dev = _by_development()
+    ahead = {f"next_{c}": F.lead(c).over(by_dev) for c, _ in MEASURES.values()}
+    return triangle.withColumns({**ahead, "next_development": F.lead("development").over(by_dev)}).where(
         F.col("next_development") == F.col("development") + 1
     )
 

@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewright.functions import dates as D
@@ -16,7 +16,6 @@ from ratewright.operators.controls import full_outer
 from ratewright.operators.exposure import DAYS_PER_YEAR
 from ratewright.operators.ldf import MEASURES, development_pairs
 from ratewright.operators.ultimate import YEAR_KEYS, latest_diagonal
-from ratewright.params import is_month_end
 
 ERROR, WARN = "error", "warn"
 _CELL = [*SEGMENT, "development"]
@@ -320,10 +319,9 @@ def relationships_report(tables: dict[str, DataFrame], contract: dict[str, Table
 # ---- claims ---------------------------------------------------------------------
 
 
-def as_of_is_month_end(spark: SparkSession, as_of: date) -> DataFrame:
-    """The as-of date itself when it is not a month end."""
-    row = spark.range(1).select(D.day(as_of).alias("as_of_date"))
-    return row.where(F.lit(not is_month_end(as_of)))
+def not_month_end(df: DataFrame, column: str) -> DataFrame:
+    """Rows whose date is no month end; a valuation date must be one."""
+    return df.where(F.col(column) != F.last_day(column))
 
 
 def claim_cumulative_incurred_reconciles(cumulative: DataFrame) -> DataFrame:

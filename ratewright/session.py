@@ -10,21 +10,33 @@ from pyspark.sql import DataFrame, SparkSession
 _local_dirs: dict[str, str] = {}
 
 
+# Settings that a running session accepts.
+RUNTIME_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    # split a join partition that one key fills, even where that costs a shuffle
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # a join on (coverage, month) may reuse rows already hashed on coverage
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings the operators are planned for to a session."""
+    for key, value in RUNTIME_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app_name: str = "ratewright", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are planned for."""
-    builder = (
-        SparkSession.builder.appName(app_name)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # lets a join on (coverage, month) reuse data already hashed on coverage
-        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    )
+    builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
 
 
 def shared_dir(spark: SparkSession) -> str:

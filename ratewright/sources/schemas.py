@@ -8,11 +8,26 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+_TYPES = {
+    "string": T.StringType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "decimal(18,2)": T.DecimalType(18, 2),
+}
 _AUDIT = "load_batch_id string, ingested_at timestamp"
 
 
+def _table(columns: str) -> T.StructType:
+    """A schema from ``name type, name type``; needs no running session."""
+    pairs = [column.split() for column in columns.split(", ")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
 def _raw(columns: str) -> T.StructType:
-    return T.StructType.fromDDL(f"{columns}, source_system string, {_AUDIT}")
+    return _table(f"{columns}, source_system string, {_AUDIT}")
 
 
 RAW = {
@@ -61,47 +76,47 @@ RAW = {
         "occupancy string, construction_type string, year_built int, protection_class int, "
         "total_insured_value decimal(18,2)"
     ),
-    "rate_level_history": T.StructType.fromDDL(
+    "rate_level_history": _table(
         "filing_id string, effective_date date, state string, risk_class string, vehicle_segment string, "
         "rate_change_pct double, cumulative_factor double"
     ),
 }
 
 ASSUMPTIONS = {
-    "ldf_selection_table": T.StructType.fromDDL(
+    "ldf_selection_table": _table(
         "segmentation_version string, triangle_type string, state string, risk_class string, "
         "vehicle_segment string, development int, ldf double, method string, description string"
     ),
-    "selected_ultimate": T.StructType.fromDDL(
+    "selected_ultimate": _table(
         "segmentation_version string, type string, state string, risk_class string, vehicle_segment string, "
         "accident_year int, method string, ultimate double, comment string"
     ),
-    "ultimate_selection": T.StructType.fromDDL(
+    "ultimate_selection": _table(
         "segmentation_version string, type string, state string, risk_class string, vehicle_segment string, "
         "accident_year int, method string, comment string"
     ),
-    "trend_selection": T.StructType.fromDDL(
+    "trend_selection": _table(
         "segmentation_version string, trend_type string, state string, risk_class string, vehicle_segment string, "
         "annual_trend double, effective_from date, effective_to date, description string"
     ),
-    "expense_assumption": T.StructType.fromDDL(
+    "expense_assumption": _table(
         "pricing_version string, state string, fixed_expense_per_exposure double, variable_expense_ratio double, "
         "ulae_ratio double, profit_ratio double, target_loss_ratio double"
     ),
 }
 
 GOVERNANCE = {
-    "assumption_version": T.StructType.fromDDL(
+    "assumption_version": _table(
         "assumption_set_id string, assumption_type string, file_name string, target_table_name string, "
         "version_sequence bigint, version_label string, status string, uploaded_at timestamp, uploaded_by string, "
         "upload_comment string, source_row_count bigint, change_count bigint, previous_assumption_set_id string, "
         "dag_id string, dag_run_id string, task_id string"
     ),
-    "assumption_change_log": T.StructType.fromDDL(
+    "assumption_change_log": _table(
         "assumption_set_id string, assumption_type string, file_name string, row_key string, change_type string, "
         "column_name string, old_value string, new_value string, changed_at timestamp"
     ),
-    "pipeline_run_metadata": T.StructType.fromDDL(
+    "pipeline_run_metadata": _table(
         "pipeline_run_metadata_id string, dag_id string, dag_run_id string, task_id string, "
         "assumption_set_id string, assumption_type string, file_name string, version_sequence bigint, "
         "version_label string, registered_at timestamp"
@@ -109,18 +124,18 @@ GOVERNANCE = {
 }
 
 SEEDS = {
-    "development_pool_mapping": T.StructType.fromDDL(
+    "development_pool_mapping": _table(
         "development_pool_id string, pool_level string, line_of_business string, product_id string, "
         "coverage_code string"
     ),
-    "rating_factor": T.StructType.fromDDL(
+    "rating_factor": _table(
         "factor_id string, factor_name string, entity_level string, data_type string, description string"
     ),
-    "model_version": T.StructType.fromDDL(
+    "model_version": _table(
         "model_version_id string, product_id string, line_of_business string, version_number int, "
         "effective_start_date date, effective_end_date date, status string"
     ),
-    "bridge_model_version_factor": T.StructType.fromDDL(
+    "bridge_model_version_factor": _table(
         "model_version_id string, factor_id string, transformation_id string, required_flag int"
     ),
 }
