@@ -23,7 +23,9 @@ def q(sql: str, dates: str = "", numbers: str = "", times: str = "") -> str:
     """Wrap a statement: dates as ISO text, listed numbers as rounded doubles."""
     swaps = [f"strftime({c}, '%Y-%m-%d') AS {c}" for c in dates.split()]
     swaps += [f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}" for c in times.split()]
-    swaps += [f"round(CAST({c} AS DOUBLE), {digits(c)}) AS {c}" for c in numbers.split()]
+    swaps += [
+        f"round_even(CAST({c} AS DOUBLE) * 1e{digits(c)}, 0) / 1e{digits(c)} AS {c}" for c in numbers.split()
+    ]
     replaced = f" REPLACE ({', '.join(swaps)})" if swaps else ""
     return compose(PARTS, f"SELECT *{replaced} FROM ({sql}) result")
 

@@ -34,6 +34,19 @@ def segmentation_grouping(column: Column, flag: Column | int) -> Column:
     return F.when(f == 1, column).otherwise(F.lit("ALL"))
 
 
+def all_versions(sources: list[str], names: list[str] = SEGMENT) -> Column:
+    """Array with one entry per version: its name and the three grouping columns."""
+    return F.array(
+        *[
+            F.struct(
+                F.lit(version).alias("segmentation_version"),
+                *[segmentation_grouping(F.col(s), flag).alias(n) for s, flag, n in zip(sources, flags, names)],
+            )
+            for version, *flags in SEGMENTATION_CONFIG
+        ]
+    )
+
+
 def segment_columns(
     version: str, state: str = "state", risk_class: str = "risk_class", vehicle_segment: str = "vehicle_segment"
 ) -> list[Column]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewright.functions import dates as D
@@ -75,27 +75,23 @@ def dim_calendar_month(bounds: DataFrame) -> DataFrame:
     )
 
 
-def first_accident_month(claims: DataFrame) -> DataFrame:
-    """One row: the month of the earliest loss."""
-    return claims.agg(D.month_start(F.min("loss_date")).alias("first_accident_month"))
+def first_accident_month(claims: DataFrame) -> Column:
+    """The month of the earliest loss, as a scalar subquery."""
+    return claims.agg(D.month_start(F.min("loss_date")).alias("first_accident_month")).scalar()
 
 
 def valuation_dates(calendar_months: DataFrame, claims: DataFrame, as_of: date) -> DataFrame:
     """Month ends from the first accident month to ``as_of``."""
-    first = first_accident_month(claims)
-    return (
-        calendar_months.crossJoin(F.broadcast(first))  # one row
-        .where((F.col("month_start") >= F.col("first_accident_month")) & (F.col("month_end") <= D.day(as_of)))
-        .select(
-            F.col("month_end").alias("valuation_date"),
-            F.col("month_start").alias("valuation_month"),
-            "calendar_year",
-            "calendar_quarter",
-            "calendar_month",
-            "is_quarter_end",
-            "is_half_year_end",
-            "is_year_end",
-        )
+    in_range = (F.col("month_start") >= first_accident_month(claims)) & (F.col("month_end") <= D.day(as_of))
+    return calendar_months.where(in_range).select(
+        F.col("month_end").alias("valuation_date"),
+        F.col("month_start").alias("valuation_month"),
+        "calendar_year",
+        "calendar_quarter",
+        "calendar_month",
+        "is_quarter_end",
+        "is_half_year_end",
+        "is_year_end",
     )
 
 

@@ -137,9 +137,8 @@ def claim_valuation_snapshot(
     Attributes join at claim level before the periods are listed month by
     month, so the large output is produced by a narrow step and never shuffled.
     """
-    floor = F.broadcast(first_accident_month(claims))  # one row
-    states = state_period.join(claim_attributes(claims, policy, coverage), "claim_id").crossJoin(floor)
-    first_month = F.greatest(F.col("first_accident_month"), D.month_start(D.day(calendar_start)))
+    states = state_period.join(claim_attributes(claims, policy, coverage), "claim_id")
+    first_month = F.greatest(first_accident_month(claims), D.month_start(D.day(calendar_start)))
     monthly = explode_month_ends(states, F.col("valid_from_date"), F.col("valid_to_date"), first_month, as_of)
     return monthly.withColumns(month_attributes("valuation_month")).select(
         F.last_day("valuation_month").alias("valuation_date"),
@@ -208,9 +207,8 @@ def claim_snapshot(
         F.col("cumulative_incurred_loss").alias("incurred"),
     )
     owner = claims.select("claim_id", "policy_id", F.col("loss_date").alias("accident_date"))
-    floor = F.broadcast(first_accident_month(claims))  # one row
-    joined = periods.join(owner, "claim_id").crossJoin(floor)
-    first_month = F.greatest(F.col("first_accident_month"), D.month_start(D.day(calendar_start)))
+    joined = periods.join(owner, "claim_id")
+    first_month = F.greatest(first_accident_month(claims), D.month_start(D.day(calendar_start)))
     monthly = explode_month_ends(joined, F.col("transaction_date"), F.col("valid_to"), first_month, as_of)
     if year_end_only:
         monthly = monthly.where(D.is_year_end_month(F.col("valuation_month")))

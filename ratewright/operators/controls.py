@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +27,15 @@ def full_outer(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
 def at_latest_valuation(df: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Rows of ``df`` at the latest valuation date of the snapshot."""
-    latest = snapshot.agg(F.max("valuation_date").alias("valuation_date"))
-    return df.join(F.broadcast(latest), "valuation_date", "left_semi")  # one row
+    return df.where(F.col("valuation_date") == snapshot.agg(F.max("valuation_date")).scalar())
+
+
+def one_row_of(**totals: DataFrame) -> DataFrame:
+    """One row with a struct per one-row input, each a scalar subquery."""
+    spark = next(iter(totals.values())).sparkSession
+    return spark.range(1).select(
+        *[df.select(F.struct(*df.columns)).scalar().alias(name) for name, df in totals.items()]
+    )
 
 
 def mart_control_totals_financial_summary(
@@ -38,37 +43,42 @@ def mart_control_totals_financial_summary(
 ) -> DataFrame:
     """Five totals, source against target, with absolute and relative difference."""
     written = policies.agg(
-        F.sum("written_premium").cast("double").alias("premium_source"),
-        (F.sum("term_months") / F.lit(12.0)).alias("exposure_source"),
+        F.sum("written_premium").cast("double").alias("premium"),
+        (F.sum("term_months") / F.lit(12.0)).alias("exposure"),
     )
     earned = policy_exposure.agg(
-        F.sum("total_earned_premium").cast("double").alias("premium_target"),
-        F.sum("total_earned_exposure").cast("double").alias("exposure_target"),
+        F.sum("total_earned_premium").cast("double").alias("premium"),
+        F.sum("total_earned_exposure").cast("double").alias("exposure"),
     )
     # one row per claim and valuation date: rows at one date are distinct claims
     held = at_latest_valuation(snapshot, snapshot).agg(
-        F.sum("cumulative_paid").cast("double").alias("paid_source"),
-        F.sum("incurred").cast("double").alias("incurred_source"),
-        F.count("claim_id").cast("double").alias("count_source"),
+        F.sum("cumulative_paid").cast("double").alias("paid"),
+        F.sum("incurred").cast("double").alias("incurred"),
+        F.count("claim_id").cast("double").alias("claims"),
     )
     cells = at_latest_valuation(triangle, snapshot).agg(
-        F.sum("cumulative_paid").cast("double").alias("paid_target"),
-        F.sum("cumulative_incurred").cast("double").alias("incurred_target"),
-        F.sum("cumulative_claim_count").cast("double").alias("count_target"),
+        F.sum("cumulative_paid").cast("double").alias("paid"),
+        F.sum("cumulative_incurred").cast("double").alias("incurred"),
+        F.sum("cumulative_claim_count").cast("double").alias("claims"),
     )
-    prefixes = ["premium", "exposure", "paid", "incurred", "count"]
+    pairs = [
+        ("written.premium", "earned.premium"),
+        ("written.exposure", "earned.exposure"),
+        ("held.paid", "cells.paid"),
+        ("held.incurred", "cells.incurred"),
+        ("held.claims", "cells.claims"),
+    ]
     metrics = F.array(
         *[
             F.struct(
                 F.lit(name).alias("metric_name"),
-                F.col(f"{p}_source").alias("source_value"),
-                F.col(f"{p}_target").alias("target_value"),
+                F.col(source).alias("source_value"),
+                F.col(target).alias("target_value"),
             )
-            for (name, _, _), p in zip(TOLERANCES, prefixes)
+            for (name, _, _), (source, target) in zip(TOLERANCES, pairs)
         ]
     )
-    # four one-row inputs
-    one_row = reduce(lambda a, b: a.crossJoin(F.broadcast(b)), [written, earned, held, cells])
+    one_row = one_row_of(written=written, earned=earned, held=held, cells=cells)
     gap = F.col("target_value") - F.col("source_value")
     return one_row.select(F.inline(metrics)).select(
         "metric_name",

@@ -184,12 +184,9 @@ def policy_exposure(policies: DataFrame, version: str = "v3") -> DataFrame:
     some policy starts are reported.
     """
     ends = actual_end(F.col("expiration_date"), F.col("cancellation_date"))
-    bounds = policies.agg(F.year(F.min("effective_date")).alias("lo"), F.year(F.max("effective_date")).alias("hi"))
-    terms = policies.withColumn("ends", ends).crossJoin(F.broadcast(bounds))  # one row
+    last_start = policies.agg(F.year(F.max("effective_date")).alias("year")).scalar()
     years = explode_years(
-        terms,
-        F.greatest(F.year("effective_date"), F.col("lo")),
-        F.least(F.year("ends"), F.col("hi")),
+        policies.withColumn("ends", ends), F.year("effective_date"), F.least(F.year("ends"), last_start)
     )
     year = F.col("calendar_year")
     earn_start = F.greatest(F.col("effective_date"), F.make_date(year, F.lit(1), F.lit(1)))

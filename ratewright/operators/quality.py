@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ratewright.functions import dates as D
 from ratewright.functions.money import prorate_micros, to_cents
 from ratewright.functions.segments import SEGMENT, segment_columns
-from ratewright.operators.controls import full_outer
+from ratewright.operators.controls import full_outer, one_row_of
 from ratewright.operators.exposure import DAYS_PER_YEAR
 from ratewright.operators.ldf import MEASURES, development_pairs
 from ratewright.operators.ultimate import YEAR_KEYS, latest_diagonal
@@ -342,13 +342,12 @@ def claim_snapshot_population(claims: DataFrame, valuation_dates: DataFrame, sna
     paired with the dates that follow it.
     """
     months = valuation_dates.select("valuation_date", "valuation_month")
-    first = months.agg(F.min("valuation_month").alias("first_month"))
+    first = months.agg(F.min("valuation_month")).scalar()
     entered = (
         claims.where(F.col("reported_date").isNotNull())
         .groupBy(D.month_start(F.col("reported_date")).alias("report_month"))
         .agg(F.count_distinct("claim_id").alias("claims"))
-        .crossJoin(F.broadcast(first))  # one row
-        .groupBy(F.greatest("report_month", "first_month").alias("valuation_month"))
+        .groupBy(F.greatest(F.col("report_month"), first).alias("valuation_month"))
         .agg(F.sum("claims").alias("claims"))
     )
     # one row per calendar month
@@ -490,9 +489,14 @@ def _earned_totals(exposure: DataFrame) -> DataFrame:
     )
 
 
+def _totals_of(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The columns of two one-row frames in one row."""
+    return one_row_of(left=left, right=right).select("left.*", "right.*")
+
+
 def policy_exposure_within_policy_totals(policies: DataFrame, exposure: DataFrame) -> DataFrame:
     zero = F.lit(0.0)
-    totals = _written_totals(policies).crossJoin(F.broadcast(_earned_totals(exposure)))  # one row each
+    totals = _totals_of(_written_totals(policies), _earned_totals(exposure))
     return totals.where(
         (F.coalesce("written_premium", zero) < F.coalesce("earned_premium", zero))
         | (F.coalesce("written_exposure", zero) < F.coalesce("earned_exposure", zero))
@@ -516,14 +520,14 @@ def policy_exposure_aggregation_consistent(exposure: DataFrame) -> DataFrame:
         {"earned_exposure": "reaggregated_exposure", "earned_premium": "reaggregated_earned_premium"}
     )
     gap = lambda a, b: F.abs(F.col(a) - F.col(b)) > 0.000001
-    return overall.crossJoin(F.broadcast(again)).where(  # one row each
+    return _totals_of(overall, again).where(
         gap("overall_exposure", "reaggregated_exposure")
         | gap("overall_earned_premium", "reaggregated_earned_premium")
     )
 
 
 def earned_premium_within_written(policies: DataFrame, exposure: DataFrame) -> DataFrame:
-    totals = _earned_totals(exposure).crossJoin(F.broadcast(_written_totals(policies)))  # one row each
+    totals = _totals_of(_earned_totals(exposure), _written_totals(policies))
     return totals.where("earned_premium > written_premium").select("earned_premium", "written_premium")
 
 
@@ -541,7 +545,7 @@ def claim_snapshot_reconciles(events: DataFrame, valuation_dates: DataFrame, sna
     so expected totals are running sums of monthly movements.
     """
     months = valuation_dates.select("valuation_date", "valuation_month")
-    first = months.agg(F.min("valuation_month").alias("first_month"))
+    first = months.agg(F.min("valuation_month")).scalar()
     seen = events.where(F.col("event_date") <= D.day(as_of))
     by_month = seen.groupBy(D.month_start(F.col("event_date")).alias("event_month")).agg(
         F.sum(to_cents(F.col("paid_loss_change"))).alias("paid"),
@@ -555,8 +559,7 @@ def claim_snapshot_reconciles(events: DataFrame, valuation_dates: DataFrame, sna
     )
     moved = (
         full_outer(by_month, starts, ["event_month"])
-        .crossJoin(F.broadcast(first))  # one row
-        .groupBy(F.greatest("event_month", "first_month").alias("valuation_month"))
+        .groupBy(F.greatest(F.col("event_month"), first).alias("valuation_month"))
         .agg(*[F.sum(c).alias(c) for c in ("paid", "incurred", "claims")])
     )
     # one row per calendar month; every month counts, also those not valued

@@ -80,7 +80,8 @@ def loss_triangle_pooled(triangle: DataFrame, pool_mapping: DataFrame) -> DataFr
     pooled = triangle.join(pool_mapping, PRODUCT_KEYS).groupBy(
         "triangle_grain", *POOL_KEYS, "accident_period", "development_age_months"
     )
-    return _finish(pooled.agg(*[F.sum(c).cast(triangle.schema[c].dataType).alias(c) for c in [COUNT, *CUMULATIVE]]), POOL_KEYS)
+    measures = [F.sum(c).cast(triangle.schema[c].dataType).alias(c) for c in [COUNT, *CUMULATIVE]]
+    return _finish(pooled.agg(*measures), POOL_KEYS)
 
 
 def claim_movements(claims: DataFrame, transactions: DataFrame, as_of: date) -> DataFrame:
@@ -181,14 +182,8 @@ def loss_triangle_from_events(
     """The product triangle at all four grains, straight from transactions."""
     attributes = claim_attributes(claims, policy, coverage).select("claim_id", "loss_date", *PRODUCT_KEYS)
     movements = claim_movements(claims, transactions, as_of).join(attributes, "claim_id")
-    floor = F.broadcast(first_accident_month(claims))  # one row
     return accumulate_cells(
-        movements.crossJoin(floor),
-        PRODUCT_KEYS,
-        list(STEP_MONTHS),
-        as_of,
-        calendar_start,
-        F.col("first_accident_month"),
+        movements, PRODUCT_KEYS, list(STEP_MONTHS), as_of, calendar_start, first_accident_month(claims)
     )
 
 
@@ -282,9 +277,8 @@ def claim_triangle_from_events(
     else:  # one pooled segment: no policy attribute is needed
         attributes = attributes.withColumns({c: F.lit("ALL") for c in SEGMENT})
     movements = claim_movements(claims, transactions, as_of).join(attributes, "claim_id")
-    floor = F.broadcast(first_accident_month(claims))  # one row
     cells = accumulate_cells(
-        movements.crossJoin(floor), SEGMENT, ["annual"], as_of, calendar_start, F.col("first_accident_month")
+        movements, SEGMENT, ["annual"], as_of, calendar_start, first_accident_month(claims)
     )
     return cells.select(
         *SEGMENT,

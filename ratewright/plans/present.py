@@ -47,6 +47,7 @@ def present(df: DataFrame) -> DataFrame:
         elif isinstance(f.dataType, T.DecimalType):
             c = c.cast("double")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c, digits(f.name))
+            scale = 10.0 ** digits(f.name)
+            c = F.rint(c * scale) / scale
         columns.append(c.alias(f.name))
     return df.select(*columns)

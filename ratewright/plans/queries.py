@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewright.functions.dates import actual_end
-from ratewright.functions.segments import segmentation_config, segmentation_grouping
+from ratewright.functions.segments import SEGMENT, all_versions
 from ratewright.operators import calendar, claims, core, exposure, governance, quality, review, rules, triangle
 from ratewright.operators.ldf import MEASURES
 from ratewright.plans.book import Book
@@ -119,18 +119,9 @@ def _bounds(b: Book) -> DataFrame:
 
 
 def _segment_policies(b: Book) -> DataFrame:
-    config = F.broadcast(segmentation_config(b.spark))  # one row per version
-    return (
-        b.priced_policy.crossJoin(config)
-        .groupBy(
-            "segmentation_version",
-            segmentation_grouping(F.col("state"), F.col("use_state")).alias("state_grp"),
-            segmentation_grouping(F.col("risk_class"), F.col("use_risk_class")).alias("risk_class_grp"),
-            segmentation_grouping(F.col("vehicle_segment"), F.col("use_vehicle_segment")).alias(
-                "vehicle_segment_grp"
-            ),
-        )
-        .agg(F.count(F.lit(1)).alias("policies"))
+    versions = F.inline(all_versions(["state", "risk_class", "vehicle_segment"]))
+    return b.priced_policy.select(versions).groupBy("segmentation_version", *SEGMENT).agg(
+        F.count(F.lit(1)).alias("policies")
     )
 
 

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewright.functions.dates import day
 from ratewright.functions.money import div_floor
-from ratewright.functions.segments import SEGMENTATION_CONFIG, segmentation_grouping
+from ratewright.functions.segments import all_versions
 from ratewright.operators.exposure import priced_policy
 from ratewright.operators.governance import ASSUMPTION_TYPES
 from ratewright.session import materialize
@@ -47,32 +47,20 @@ class TestAssumptions:
             staging.stg_vehicle(b.raw_vehicle()),
         )
 
-    def _versions(self) -> Column:
-        """The three grouping columns of a row under every segmentation version."""
-        return F.array(
-            *[
-                F.struct(
-                    F.lit(version).alias("segmentation_version"),
-                    *[
-                        segmentation_grouping(F.col(f"own_{c}"), flag).alias(c)
-                        for c, flag in zip(_RAW_SEGMENT, flags)
-                    ],
-                )
-                for version, *flags in SEGMENTATION_CONFIG
-            ]
-        )
-
     def segment_years(self) -> DataFrame:
         """Reported claims and their ultimate cents per version, segment and accident year."""
         if self._segment_years is None:
-            owner = self.priced_policy().select("policy_id", *[F.col(c).alias(f"own_{c}") for c in _RAW_SEGMENT])
+            owned = [f"own_{c}" for c in _RAW_SEGMENT]
+            owner = self.priced_policy().select(
+                "policy_id", *[F.col(c).alias(o) for c, o in zip(_RAW_SEGMENT, owned)]
+            )
             claims = (
                 self.book.claim_bases()
                 .where(F.col("reported_date") <= day(self.book.params.as_of))
                 .select("policy_id", F.year("loss_date").alias("accident_year"), "ultimate_cents")
             )
             rows = claims.join(owner, "policy_id").select(
-                "accident_year", "ultimate_cents", F.inline(self._versions())
+                "accident_year", "ultimate_cents", F.inline(all_versions(owned, _RAW_SEGMENT))
             )
             years = rows.groupBy("segmentation_version", *_RAW_SEGMENT, "accident_year").agg(
                 F.count(F.lit(1)).alias("claims"), F.sum("ultimate_cents").alias("cents")
@@ -130,15 +118,14 @@ class TestAssumptions:
     def ultimate_selection(self) -> DataFrame:
         """A method for every year but the oldest one of the book."""
         years = self.segment_years()
-        oldest = years.agg(F.min("accident_year").alias("oldest"))
+        oldest = years.agg(F.min("accident_year")).scalar()
         ay = F.col("accident_year")
         entries = F.array(
             F.struct(F.lit("loss").alias("type"), pick(LOSS_SELECTIONS, ay % 5).alias("method")),
             F.struct(F.lit("claim_count").alias("type"), pick(COUNT_SELECTIONS, ay % 4).alias("method")),
         )
         return (
-            years.crossJoin(F.broadcast(oldest))  # one row
-            .where(ay > F.col("oldest"))
+            years.where(ay > oldest)
             .select("segmentation_version", *_RAW_SEGMENT, "accident_year", F.inline(entries))
             .select(
                 "segmentation_version",
