@@ -18,8 +18,11 @@ MICRO_MONEY = "decimal(18,6)"
 
 
 def to_cents(amount: Column) -> Column:
-    """Whole cents of a two-decimal amount (exact below 2e13 units)."""
-    return F.round(amount.cast("double") * 100).cast("bigint")
+    """Whole cents of a two-decimal amount (exact below 2e13 units).
+
+    ``rint`` stays on primitives; ``round`` of a double goes through BigDecimal.
+    """
+    return F.rint(amount.cast("double") * 100).cast("bigint")
 
 
 def from_cents(cents: Column, dtype: str = MONEY) -> Column:

@@ -335,35 +335,41 @@ class TestBook:
         ultimate = F.col("ultimate_cents")
 
         def steps(pattern: list[tuple[int, int, int]]) -> Column:
-            rows = []
-            before_paid, before_reserve = 0, None
+            """The pattern as constants: step, day, and paid and reserve % now and before."""
+            rows, paid_before, reserve_before = [], 0, 0
             for step, (month, paid, reserve) in enumerate(pattern):
-                rows.append((step, month, before_paid, paid, before_reserve, reserve))
-                before_paid, before_reserve = paid, reserve
-            zero = F.lit(0).cast("bigint")
-
-            def share(pct: int | None) -> Column:
-                return zero if pct is None else div_floor(ultimate * pct, 100)
-
-            def expense(pct: int | None) -> Column:
-                return zero if pct is None else div_floor(share(pct) * 8, 100)
-
-            return F.array(
-                *[
-                    F.struct(
-                        F.lit(step).alias("step"),
-                        F.date_add(F.col("reported_date"), 30 * month).alias("on"),
-                        (share(paid) - share(paid_before)).alias("paid"),
-                        (share(reserve) - share(reserve_before)).alias("reserve"),
-                        (expense(reserve) - expense(reserve_before)).alias("case_expense"),
-                    )
-                    for step, month, paid_before, paid, reserve_before, reserve in rows
-                ]
+                values = {
+                    "step": step,
+                    "days": 30 * month,
+                    "paid": paid,
+                    "paid_before": paid_before,
+                    "reserve": reserve,
+                    "reserve_before": reserve_before,
+                }
+                rows.append(F.struct(*[F.lit(v).alias(k) for k, v in values.items()]))
+                paid_before, reserve_before = paid, reserve
+            return F.array(*rows)
+
+        def share(pct: str) -> Column:
+            return div_floor(ultimate * F.col(f"s.{pct}"), 100)
+
+        def expense(pct: str) -> Column:
+            return div_floor(share(pct) * 8, 100)
+
+        pattern = F.when(F.col("is_auto"), steps(AUTO_PATTERN)).otherwise(steps(PROPERTY_PATTERN))
+        moves = (
+            self.claim_bases()
+            .select("claim_id", "reported_date", "ultimate_cents", F.explode(pattern).alias("s"))
+            .select(
+                "claim_id",
+                F.struct(
+                    F.col("s.step").alias("step"),
+                    F.date_add("reported_date", F.col("s.days")).alias("on"),
+                    (share("paid") - share("paid_before")).alias("paid"),
+                    (share("reserve") - share("reserve_before")).alias("reserve"),
+                    (expense("reserve") - expense("reserve_before")).alias("case_expense"),
+                ).alias("t"),
             )
-
-        moves = self.claim_bases().select(
-            "claim_id",
-            F.explode(F.when(F.col("is_auto"), steps(AUTO_PATTERN)).otherwise(steps(PROPERTY_PATTERN))).alias("t"),
         )
         paid_expense = div_floor(F.col("t.paid"), 10)
         recovery = div_floor(F.col("t.paid") * 5, 100)
