@@ -84,21 +84,28 @@ def loss_triangle_pooled(triangle: DataFrame, pool_mapping: DataFrame) -> DataFr
     return _finish(pooled.agg(*measures), POOL_KEYS)
 
 
-def claim_movements(claims: DataFrame, transactions: DataFrame, as_of: date) -> DataFrame:
+def claim_movements(claims: DataFrame, transactions: DataFrame, as_of: date, calendar_start: date) -> DataFrame:
     """Per claim and month: the amounts that moved, in cents, and the claim itself once.
 
+    Months before the first valuation count as the first one, which sees them all.
+
     ``reported`` is 1 in the claim's first month and 0 after, so its running sum
     counts claims. Transactions collapse to months on the map side before the
     join, which bounds what one claim can bring to it.
     """
+    first = F.greatest(first_accident_month(claims), D.month_start(D.day(calendar_start)))
+
+    def seen_from(day: str) -> Column:
+        return F.greatest(D.month_start(F.col(day)), first).alias("event_month")
+
     moved = (
         transactions.where(F.col("transaction_date") <= D.day(as_of))
-        .groupBy("claim_id", D.month_start(F.col("transaction_date")).alias("event_month"))
+        .groupBy("claim_id", seen_from("transaction_date"))
         .agg(*[F.coalesce(F.sum(to_cents(F.col(c))), F.lit(0)).alias(a) for c, a in zip(CHANGES, AMOUNTS)])
     )
     anchors = claims.where(F.col("reported_date") <= D.day(as_of)).select(
         "claim_id",
-        D.month_start(F.col("reported_date")).alias("event_month"),
+        seen_from("reported_date"),
         *[F.lit(0).cast("bigint").alias(a) for a in AMOUNTS],
     )
     nth = F.row_number().over(Window.partitionBy("claim_id").orderBy("event_month"))
@@ -110,8 +117,6 @@ def accumulate_cells(
     keys: list[str],
     grains: list[str],
     as_of: date,
-    calendar_start: date,
-    floor_month: Column,
 ) -> DataFrame:
     """Triangle cells from monthly movements.
 
@@ -121,7 +126,6 @@ def accumulate_cells(
     accident period has a cell at each age from its first movement to ``as_of``.
     """
     last_month = F.add_months(D.month_start(F.date_add(D.day(as_of), 1)), -1)
-    entry_month = F.greatest(F.col("event_month"), floor_month, D.month_start(D.day(calendar_start)))
     loss = F.col("loss_date")
     period_start = {
         "monthly": D.month_start(loss),
@@ -132,7 +136,7 @@ def accumulate_cells(
 
     def entry(grain: str) -> Column:
         step, start = STEP_MONTHS[grain], period_start[grain]
-        months = D.month_boundaries(start, entry_month) + 1
+        months = D.month_boundaries(start, F.col("event_month")) + 1
         # first multiple of the step at or after the entry, at least one step
         age = F.greatest(F.ceil(months / step).cast("int") * step, F.lit(step))
         return F.struct(
@@ -181,10 +185,8 @@ def loss_triangle_from_events(
 ) -> DataFrame:
     """The product triangle at all four grains, straight from transactions."""
     attributes = claim_attributes(claims, policy, coverage).select("claim_id", "loss_date", *PRODUCT_KEYS)
-    movements = claim_movements(claims, transactions, as_of).join(attributes, "claim_id")
-    return accumulate_cells(
-        movements, PRODUCT_KEYS, list(STEP_MONTHS), as_of, calendar_start, first_accident_month(claims)
-    )
+    movements = claim_movements(claims, transactions, as_of, calendar_start).join(attributes, "claim_id")
+    return accumulate_cells(movements, PRODUCT_KEYS, list(STEP_MONTHS), as_of)
 
 
 def ldf_observations(triangle: DataFrame) -> DataFrame:
@@ -276,10 +278,8 @@ def claim_triangle_from_events(
         attributes = attributes.join(owner, "policy_id", "left")
     else:  # one pooled segment: no policy attribute is needed
         attributes = attributes.withColumns({c: F.lit("ALL") for c in SEGMENT})
-    movements = claim_movements(claims, transactions, as_of).join(attributes, "claim_id")
-    cells = accumulate_cells(
-        movements, SEGMENT, ["annual"], as_of, calendar_start, first_accident_month(claims)
-    )
+    movements = claim_movements(claims, transactions, as_of, calendar_start).join(attributes, "claim_id")
+    cells = accumulate_cells(movements, SEGMENT, ["annual"], as_of)
     return cells.select(
         *SEGMENT,
         F.year("accident_period").alias("accident_year"),
