@@ -282,7 +282,7 @@ def expression_report(tables: dict[str, DataFrame], contract: dict[str, TableCon
     )
 
 
-def _failures(df: DataFrame, table: str, rule: str) -> DataFrame:
+def count_failures(df: DataFrame, table: str, rule: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("failing_rows")).select(
         F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "failing_rows"
     )
@@ -291,7 +291,7 @@ def _failures(df: DataFrame, table: str, rule: str) -> DataFrame:
 def unique_report(tables: dict[str, DataFrame], contract: dict[str, TableContract] = CONTRACT) -> DataFrame:
     return _stack(
         [
-            _failures(unique(tables[t], c), t, c)
+            count_failures(unique(tables[t], c), t, c)
             for t, k in contract.items()
             for c in [k.key, *k.unique_keys]
         ]
@@ -302,14 +302,14 @@ def unique_combination_report(
     tables: dict[str, DataFrame], combinations: dict[str, list[str]] = UNIQUE_COMBINATIONS
 ) -> DataFrame:
     return _stack(
-        [_failures(unique_combination(tables[t], c), t, "+".join(c)) for t, c in combinations.items()]
+        [count_failures(unique_combination(tables[t], c), t, "+".join(c)) for t, c in combinations.items()]
     )
 
 
 def relationships_report(tables: dict[str, DataFrame], contract: dict[str, TableContract] = CONTRACT) -> DataFrame:
     return _stack(
         [
-            _failures(relationships(tables[t], c, tables[parent], key), t, c)
+            count_failures(relationships(tables[t], c, tables[parent], key), t, c)
             for t, k in contract.items()
             for c, (parent, key) in k.references.items()
         ]

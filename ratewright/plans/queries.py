@@ -17,10 +17,10 @@ from ratewright.plans.book import Book
 from ratewright.plans.present import present
 from ratewright.session import scratch_path
 from ratewright.sources import schemas, staging, tables
-from ratewright.sources.test_source import test_book
-from ratewright.sources.testdata import TEST_PARAMS
+from ratewright.sources.sample_source import sample_book
+from ratewright.sources.sample_tables import SAMPLE_PARAMS
 
-QUERY_PARAMS = replace(TEST_PARAMS, baseline_loss_method="Chain_ladder_incurred")
+QUERY_PARAMS = replace(SAMPLE_PARAMS, baseline_loss_method="Chain_ladder_incurred")
 BASE_YEAR = 1995  # first policy year of the test book
 CHECK_FROM = date(1996, 1, 1)
 MAX_DEVELOPMENT = QUERY_PARAMS.as_of.year - 1995
@@ -37,10 +37,10 @@ def book_for(spark: SparkSession, sf_dir: str, fresh: bool = False, **changes) -
     """
     params = replace(QUERY_PARAMS, **changes)
     if fresh:
-        return test_book(spark, sf_dir, params)
+        return sample_book(spark, sf_dir, params)
     key = (spark.sparkContext.applicationId, sf_dir, params)
     if key not in _books:
-        _books[key] = test_book(spark, sf_dir, params)
+        _books[key] = sample_book(spark, sf_dir, params)
     return _books[key]
 
 
@@ -92,7 +92,7 @@ SOURCES: dict[str, Build] = {
     "append_table": _append,
     "csv_table": lambda b: _round_trip(b, "raw_policy_coverage", tables.read_raw, "csv"),
     "upper_case_headers": lambda b: tables.upper_case_headers(b.stg_driver),
-    "concat_with_schema": lambda b: b.test_raw.all_risk_units(),
+    "concat_with_schema": lambda b: b.sample_raw.all_risk_units(),
 }
 
 # ---- staging -------------------------------------------------------------------
@@ -162,9 +162,9 @@ MODELS["surrogate_key"] = lambda b: b.earned_exposure_month.select(
     "calendar_month",
     core.surrogate_key("risk_unit_id", "coverage_id", "calendar_month").alias("exposure_id"),
 )
-MODELS["dim_rating_factor"] = lambda b: b.test_assumptions.rating_factor(b.fct_exposure_attribute)
-MODELS["dim_model_version"] = lambda b: b.test_assumptions.model_version()
-MODELS["dim_bridge_model_version_factor"] = lambda b: b.test_assumptions.bridge_model_version_factor(
+MODELS["dim_rating_factor"] = lambda b: b.sample_assumptions.rating_factor(b.fct_exposure_attribute)
+MODELS["dim_model_version"] = lambda b: b.sample_assumptions.model_version()
+MODELS["dim_bridge_model_version_factor"] = lambda b: b.sample_assumptions.bridge_model_version_factor(
     b.auto_exposure_attributes, b.property_exposure_attributes
 )
 MODELS["loss_triangle_from_snapshot"] = lambda b: triangle.loss_triangle(b.claim_development)
@@ -183,7 +183,7 @@ for _m in MEASURES:
 
 def _change_log(b: Book) -> DataFrame:
     return governance.change_log(
-        b.test_assumptions.previous_ldf_selection(),
+        b.sample_assumptions.previous_ldf_selection(),
         b.source("ldf_selection_table"),
         governance.key_columns("ldf_selection"),
         "ldf_selection-2",
@@ -254,7 +254,7 @@ REVIEW: dict[str, Build] = {
 def _rated_claims(b: Book) -> DataFrame:
     """Claims with an ultimate in currency and the recovery ratio of their line."""
     auto = F.col("is_auto")
-    return b.test_raw.claim_bases().select(
+    return b.sample_raw.claim_bases().select(
         "claim_id",
         F.when(auto, "personal_auto").otherwise("commercial_property").alias("line_of_business"),
         "reported_date",
@@ -265,7 +265,7 @@ def _rated_claims(b: Book) -> DataFrame:
 
 def _coverage_losses(b: Book) -> DataFrame:
     cover = b.stg_policy_coverage.select("coverage_id", "deductible_amount", "limit_amount")
-    loss = b.test_raw.claim_bases().select(
+    loss = b.sample_raw.claim_bases().select(
         "claim_id", "coverage_id", (F.col("ultimate_cents") * 7 / 100).cast("decimal(18,2)").alias("ground_up")
     )
     return loss.join(cover, "coverage_id").select(
@@ -329,9 +329,9 @@ def _range_report(b: Book) -> DataFrame:
     days = b.coverage_month.select("coverage_id", "calendar_month", "active_days")
     return tables.concat_with_schema(
         [
-            quality._failures(quality.accepted_range(days, "active_days", 1, 31), "coverage_month", "days_1_to_31"),
-            quality._failures(quality.accepted_range(days, "active_days", 28, 31), "coverage_month", "full_months"),
-            quality._failures(
+            quality.count_failures(quality.accepted_range(days, "active_days", 1, 31), "coverage_month", "days_1_to_31"),
+            quality.count_failures(quality.accepted_range(days, "active_days", 28, 31), "coverage_month", "full_months"),
+            quality.count_failures(
                 quality.accepted_range(days, "active_days", low=0, inclusive=False), "coverage_month", "above_zero"
             ),
         ],

@@ -18,7 +18,7 @@ from ratewright.operators.exposure import priced_policy
 from ratewright.operators.governance import ASSUMPTION_TYPES
 from ratewright.session import materialize
 from ratewright.sources import staging
-from ratewright.sources.testdata import INGESTED_AT, TestBook, pick
+from ratewright.sources.sample_tables import INGESTED_AT, SampleBook, pick
 
 # Fixed values.
 LDF_METHODS = ["weighted", "avg", "last3_weighted", "other"]
@@ -31,10 +31,8 @@ TRENDS = {"frequency": 0.04, "severity": 0.05}
 _RAW_SEGMENT = ["state", "risk_class", "vehicle_segment"]
 
 
-class TestAssumptions:
-    __test__ = False
-
-    def __init__(self, book: TestBook) -> None:
+class SampleAssumptions:
+    def __init__(self, book: SampleBook) -> None:
         self.book = book
         self.year = book.params.as_of.year
         self._segment_years: DataFrame | None = None

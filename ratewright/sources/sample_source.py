@@ -8,20 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ratewright.params import Params
 from ratewright.plans.book import Book
-from ratewright.sources.test_assumptions import TestAssumptions
-from ratewright.sources.testdata import TEST_PARAMS, TestBook
+from ratewright.sources.sample_assumptions import SampleAssumptions
+from ratewright.sources.sample_tables import SAMPLE_PARAMS, SampleBook
 
 
 @cache
-def _raw_tables(spark: SparkSession, sf_dir: str, params: Params) -> TestBook:
+def _raw_tables(spark: SparkSession, sf_dir: str, params: Params) -> SampleBook:
     """The raw tables as plans; nothing is computed or held."""
-    return TestBook(spark, sf_dir, params)
+    return SampleBook(spark, sf_dir, params)
 
 
-def test_book(spark: SparkSession, sf_dir: str, params: Params = TEST_PARAMS) -> Book:
+def sample_book(spark: SparkSession, sf_dir: str, params: Params = SAMPLE_PARAMS) -> Book:
     """The pricing lineage over one directory of test tables."""
     raw = _raw_tables(spark, sf_dir, params)
-    assumptions = TestAssumptions(raw)
+    assumptions = SampleAssumptions(raw)
     known: dict[str, DataFrame] = {}
 
     def source(name: str) -> DataFrame:
@@ -31,8 +31,5 @@ def test_book(spark: SparkSession, sf_dir: str, params: Params = TEST_PARAMS) ->
         return known[name]
 
     book = Book(spark, source, params)
-    book.test_raw, book.test_assumptions = raw, assumptions
+    book.sample_raw, book.sample_assumptions = raw, assumptions
     return book
-
-
-test_book.__test__ = False

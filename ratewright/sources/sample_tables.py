@@ -19,7 +19,7 @@ from ratewright.functions.money import div_floor, from_cents
 from ratewright.params import Params
 from ratewright.sources.tables import concat_with_schema, stamp_load_metadata
 
-TEST_PARAMS = Params(as_of=date(2001, 12, 31), calendar_start=date(1994, 1, 1), calendar_end=date(2004, 1, 1))
+SAMPLE_PARAMS = Params(as_of=date(2001, 12, 31), calendar_start=date(1994, 1, 1), calendar_end=date(2004, 1, 1))
 
 # Fixed values.
 STATES = ["CA", "TX", "FL", "NY", "IL", "PA", "OH", "GA", "NC", "MI"]
@@ -67,12 +67,10 @@ def _is_auto(order_key: Column) -> Column:
     return order_key % 7 < 5
 
 
-class TestBook:
+class SampleBook:
     """Raw insurance tables derived from one directory of test tables."""
 
-    __test__ = False
-
-    def __init__(self, spark: SparkSession, sf_dir: str, params: Params = TEST_PARAMS) -> None:
+    def __init__(self, spark: SparkSession, sf_dir: str, params: Params = SAMPLE_PARAMS) -> None:
         self.spark = spark
         self.dir = sf_dir.rstrip("/")
         self.params = params
