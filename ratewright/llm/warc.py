@@ -42,8 +42,14 @@ def capture_records(pages: DataFrame, least: int = LEAST) -> DataFrame:
     captures = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"),
         # a line break would end the header; percent signs are kept apart from it
-        F.regexp_replace(
-            F.regexp_replace(F.coalesce(F.col("url").cast("string"), F.lit("")), "%", "%25"), r"[\r\n]", "%0A"
+        F.replace(
+            F.replace(
+                F.replace(F.coalesce(F.col("url").cast("string"), F.lit("")), F.lit("%"), F.lit("%25")),
+                F.lit("\r"),
+                F.lit("%0D"),
+            ),
+            F.lit("\n"),
+            F.lit("%0A"),
         ).alias("url"),
         html.alias("html"),
         F.sha1(html.cast("binary")).alias("digest"),
