@@ -28,6 +28,7 @@ from ratewright.llm.common import materialize, with_columns
 from ratewright.llm.words import _BYTE_CODES, NON_SPACE, _LOWER, chunks, rolling, text_buffers
 
 SIZES = (5, 7)
+CHUNK = 1 << 19  # bytes of text at once; n-grams take some sixty times as much
 DIMENSION_BITS = 20
 FEATURES = 2000
 SAMPLE = 12_000
@@ -71,7 +72,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals = np.zeros((2, 1 << DIMENSION_BITS), dtype=np.int32)
     for batch in batches:
         toxic = np.array(batch.column(1).to_pylist(), dtype=np.int64)
-        for start, end in chunks(batch.column(0)):
+        for start, end in chunks(batch.column(0), CHUNK):
             rows, features = _distinct(*grams(batch.column(0).slice(start, end - start)))
             mark = toxic[start + rows]
             for label in (0, 1):
@@ -95,7 +96,7 @@ class Model:
 
     def score(self, column: pa.Array) -> np.ndarray:
         logits = np.full(len(column), self.intercept)
-        for start, end in chunks(column):
+        for start, end in chunks(column, CHUNK):
             rows, features = self.found(column.slice(start, end - start))
             logits[start:end] += np.bincount(rows, weights=self.weights[features], minlength=end - start)
         return 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
@@ -173,7 +174,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
     def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, end in chunks(batch.column(0)):
+            for start, end in chunks(batch.column(0), CHUNK):
                 found, features = shared.value.found(batch.column(0).slice(start, end - start))
                 edges = np.searchsorted(found, np.arange(end - start + 1))
                 lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(features.astype(np.int32)))

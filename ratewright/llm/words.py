@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20  # text handled at once; a longer single text is a chunk of its own
+CHUNK_BYTES = 1 << 20  # text handled at once; a longer single text is a chunk of its own
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
