@@ -23,7 +23,7 @@ _STOP = r"[.,](?=\s|\Z)"
 SPACED = rf" ?{_LETTERS}+(?=[.,]?(?:\s|\Z))|{_STOP}| ?\S+|\s+(?!\S)|\s+"
 PLAIN = rf"{_LETTERS}+(?=[.,]?(?:\s|\Z))|{_STOP}|\S+"
 _ODD = r"[\x1c-\x1f\x85᠎​﻿]"
-CACHE_UNITS = 600_000  # per generation, of two; about 160 bytes each
+CACHE_UNITS = 400_000  # per generation, of two; about 160 bytes each
 CACHED_LENGTH = 40  # longer units are encoded but not kept
 ASK = 20_000  # units per call of the library
 
