@@ -47,7 +47,7 @@ def triangle(keys: str, source: str) -> str:
 def pricing_triangle(version: str) -> str:
     return f"""
         SELECT {seg(version)}, year(accident_date)::INTEGER AS accident_year,
-               (date_diff('month', accident_date, valuation_date) // 12)::INTEGER AS development, valuation_date,
+               (year(valuation_date) - year(accident_date))::INTEGER AS development, valuation_date,
                sum(cumulative_paid) AS cumulative_paid, sum(incurred) AS cumulative_incurred,
                count(DISTINCT claim_id) AS cumulative_claim_count
         FROM x_year_end_snapshot s LEFT JOIN x_priced p ON p.policy_id = s.policy_id GROUP BY ALL"""
@@ -210,7 +210,7 @@ MODELS = {
         FROM x_state s JOIN x_raw_claim c ON c.claim_id = s.claim_id
         JOIN x_valuations v ON s.event_date <= v.valuation_date
         QUALIFY row_number() OVER (PARTITION BY s.claim_id, v.valuation_date ORDER BY s.event_date DESC) = 1""",
-    "x_year_end_snapshot": "SELECT * FROM x_claim_snapshot WHERE is_year_end",
+    "x_year_end_snapshot": f"SELECT * FROM x_claim_snapshot WHERE is_year_end OR valuation_date = {AS_OF}",
     "x_loss_triangle": triangle("product_id, line_of_business, coverage_code", "x_development"),
     "x_pooled_development": """
         SELECT d.*, m.development_pool_id, m.pool_level FROM x_development d
@@ -323,7 +323,7 @@ MODELS = {
             SELECT e.exposure_id, v.*, a.date_of_birth, a.prior_accidents, a.prior_violations, a.credit_tier,
                    year(p.effective_date) - year(a.date_of_birth)
                      - (strftime(p.effective_date, '%m%d') < strftime(a.date_of_birth, '%m%d'))::INTEGER AS age,
-                   greatest(year(p.effective_date) - v.model_year, 0) AS vehicle_age
+                   CASE WHEN v.model_year IS NOT NULL THEN greatest(year(p.effective_date) - v.model_year, 0) END AS vehicle_age
             FROM x_fct_exposure e JOIN x_raw_policy p ON p.policy_id = e.policy_id
             JOIN x_raw_policy_risk_unit r ON r.risk_unit_id = e.risk_unit_id AND r.risk_unit_type = 'vehicle'
             JOIN x_raw_vehicle v ON v.vehicle_id = r.source_risk_unit_id
@@ -342,7 +342,7 @@ MODELS = {
         UNION ALL SELECT exposure_id, 'RF_USAGE', NULL, usage FROM d""",
     "x_property_attributes": """
         WITH d AS (
-            SELECT e.exposure_id, l.*, greatest(year(p.effective_date) - l.year_built, 0) AS building_age
+            SELECT e.exposure_id, l.*, CASE WHEN l.year_built IS NOT NULL THEN greatest(year(p.effective_date) - l.year_built, 0) END AS building_age
             FROM x_fct_exposure e JOIN x_raw_policy p ON p.policy_id = e.policy_id
             JOIN x_raw_policy_risk_unit r ON r.risk_unit_id = e.risk_unit_id
                  AND r.risk_unit_type = 'property_location'

@@ -219,6 +219,7 @@ for _grain in STEP_MONTHS:
         LOSS_TRIANGLE_DATES, CELLS)
 add("loss_triangle_pooled", "SELECT * FROM x_pooled", LOSS_TRIANGLE_DATES, CELLS)
 add("ldf_observations", """
+    WITH cells AS MATERIALIZED (SELECT * FROM x_loss_triangle)
     SELECT a.triangle_grain, a.product_id, a.line_of_business, a.coverage_code, a.accident_period,
            a.development_age_months AS development_age_from, b.development_age_months AS development_age_to,
            a.cumulative_paid_loss AS paid_loss_from, b.cumulative_paid_loss AS paid_loss_to,
@@ -237,9 +238,10 @@ add("ldf_observations", """
            CASE WHEN a.cumulative_reported_claim_count > 0
                 THEN b.cumulative_reported_claim_count / a.cumulative_reported_claim_count::DOUBLE END
                AS reported_count_link_ratio
-    FROM x_loss_triangle a JOIN x_loss_triangle b
-      ON (a.triangle_grain, a.product_id, a.line_of_business, a.coverage_code, a.accident_period)
-         = (b.triangle_grain, b.product_id, b.line_of_business, b.coverage_code, b.accident_period)
+    FROM cells a JOIN cells b
+      ON a.triangle_grain = b.triangle_grain AND a.product_id = b.product_id
+     AND a.line_of_business = b.line_of_business AND a.coverage_code = b.coverage_code
+     AND a.accident_period = b.accident_period
      AND b.development_age_months = a.development_age_months
          + CASE a.triangle_grain WHEN 'monthly' THEN 1 WHEN 'quarterly' THEN 3 WHEN 'half_year' THEN 6 ELSE 12 END""",
     "accident_period",
@@ -357,6 +359,11 @@ add("review_triangles", f"""
         ('cumulative_reported', cumulative_incurred::DOUBLE),
         ('cumulative_claim_count', cumulative_claim_count::DOUBLE)) t(name, v) GROUP BY ALL""",
     numbers=" ".join(f"dev_{d}" for d in _DEVS))
+add("review_triangle_cells_shifted", f"""
+    SELECT {SEG}, t.name AS triangle, accident_year, development, t.v AS value
+    FROM (SELECT * REPLACE (development + 9 AS development) FROM x_triangle), LATERAL (VALUES
+        ('cumulative_paid', cumulative_paid::DOUBLE), ('cumulative_reported', cumulative_incurred::DOUBLE),
+        ('cumulative_claim_count', cumulative_claim_count::DOUBLE)) t(name, v)""", numbers="value")
 add("review_ultimates", f"""
     SELECT {SEG}, accident_year, p.ultimate_loss AS paid_ultimate_loss, r.ultimate_loss AS reported_ultimate_loss,
            c.ultimate_claim_count AS reported_ultimate_claim_count
@@ -375,6 +382,13 @@ _WIDE += [("ultimate_claim_count", m) for m in ("BF", "Cape_cod", "Chain_ladder"
 add("review_ultimate_candidates", f"""
     SELECT {SEG}, accident_year, {', '.join(f"max({v}) FILTER (method = '{m}') AS {v}_{m}" for v, m in _WIDE)}
     FROM ({_BY_METHOD}) GROUP BY ALL""", numbers=" ".join(f"{v}_{m}" for v, m in _WIDE))
+_UNLISTED = [*_WIDE[:5], ("ultimate_loss", "Expected_loss"), *_WIDE[5:]]
+add("review_ultimate_candidates_unlisted", f"""
+    SELECT {SEG}, accident_year, {', '.join(f"max({v}) FILTER (method = '{m}') AS {v}_{m}" for v, m in _UNLISTED)}
+    FROM (SELECT * FROM ({_BY_METHOD}) UNION ALL
+          SELECT {SEG}, accident_year, 'Expected_loss', ultimate_loss * 2, NULL::DOUBLE
+          FROM x_fct_ultimate_loss WHERE method = 'BF') GROUP BY ALL""",
+    numbers=" ".join(f"{v}_{m}" for v, m in _UNLISTED))
 add("review_frequency_severity", f"SELECT {SEG}, accident_year, frequency, severity FROM x_freq_sev",
     numbers="frequency severity")
 add("ultimate_selection_template", """
@@ -531,8 +545,10 @@ add("develop_ultimates", f"""
            dp / 100.0 AS paid_loss_change, dr / 100.0 AS case_reserve_change, pe / 100.0 AS paid_expense_change,
            de / 100.0 AS case_expense_change, rc / 100.0 AS recovery_change, (dp + dr + pe + de - rc) / 100.0
                AS incurred_loss_change FROM n""", "transaction_date", CHANGES)
-add("primary_driver", """SELECT vehicle_id, driver_id FROM x_raw_driver_vehicle_assignment QUALIFY row_number() OVER
-    (PARTITION BY vehicle_id ORDER BY (assignment_type = 'PRIMARY') DESC, assignment_id) = 1""")
+add("primary_driver", """
+    SELECT vehicle_id, coalesce(max_by(driver_id, assignment_id) FILTER (assignment_type = 'PRIMARY'),
+                                min_by(driver_id, assignment_id)) AS driver_id
+    FROM x_raw_driver_vehicle_assignment GROUP BY vehicle_id""")
 
 
 # ---- quality
@@ -726,10 +742,36 @@ for _m, _s in LDF.items():
 
 
 def _report() -> str:
-    severity = {"triangle_incurred_not_collapsing": "warn", "incurred_link_ratios_at_least_one": "warn"}
-    names = ("triangle_paid_not_decreasing", "triangle_incurred_not_collapsing", "paid_link_ratios_at_least_one",
-             "incurred_link_ratios_at_least_one", "last3_defaults_to_one", "selected_method_loss_coverage",
-             "selected_method_claim_count_coverage", "policy_exposure_not_negative")
+    warns = ["triangle_incurred_not_collapsing", "incurred_link_ratios_at_least_one", "cdf_below_one_incurred",
+             "cdf_rising_incurred"]
+    severity = dict.fromkeys(warns, "warn")
+    names = [
+        "valuation_date_not_month_end",
+        "claim_cumulative_incurred_reconciles",
+        "claim_snapshot_population",
+        "coverage_parent_bounds",
+        "coverage_month_reconciles",
+        "earned_exposure_reconciles",
+        "earned_premium_reconciles_to_segments",
+        "earned_premium_reconciles_to_net_written",
+        "claim_snapshot_reconciles",
+        "policy_exposure_within_policy_totals",
+        "policy_exposure_aggregation_consistent",
+        "earned_premium_within_written",
+        "policy_exposure_not_negative",
+        "triangle_reconciles_to_snapshot",
+        "triangle_paid_not_decreasing",
+        "triangle_incurred_not_collapsing",
+        "paid_link_ratios_at_least_one",
+        "incurred_link_ratios_at_least_one",
+        "last3_defaults_to_one",
+        "selected_method_loss_coverage",
+        "selected_method_claim_count_coverage",
+        *[f"{check}_{measure}"
+          for check in ("selected_ldf_coverage", "ldf_not_positive", "cdf_below_one", "cdf_rising",
+                        "ultimate_equals_latest", "ultimate_below_latest")
+          for measure in ("paid", "incurred", "claim_count")],
+    ]
     rows = " UNION ALL ".join(
         f"SELECT '{n}' AS check_name, '{severity.get(n, 'error')}' AS severity, "
         f"(SELECT count(*) FROM ({ORACLE[n]})) AS failing_rows" for n in names
@@ -739,3 +781,8 @@ def _report() -> str:
 
 
 ORACLE["quality_report"] = _report()
+
+# the same statements at a valuation that is no year end
+MID_YEAR = ["claim_triangle_cumulative", "claim_triangle_from_snapshot", "mart_control_totals_financial_summary"]
+for _name in MID_YEAR:
+    ORACLE[f"{_name}_mid_year"] = ORACLE[_name].replace(AS_OF, "DATE '2001-06-30'")

@@ -194,6 +194,8 @@ def claim_snapshot(
 ) -> DataFrame:
     """Latest position per claim at or before each valuation date.
 
+    ``year_end_only`` keeps the year ends and ``as_of`` itself.
+
     The latest row not after a date is the row whose period contains that date,
     so the periods replace a join on ``<=`` with a top-1 per claim and date.
     """
@@ -211,7 +213,8 @@ def claim_snapshot(
     first_month = F.greatest(first_accident_month(claims), D.month_start(D.day(calendar_start)))
     monthly = explode_month_ends(joined, F.col("transaction_date"), F.col("valid_to"), first_month, as_of)
     if year_end_only:
-        monthly = monthly.where(D.is_year_end_month(F.col("valuation_month")))
+        last = F.col("valuation_month") == D.month_start(D.day(as_of))
+        monthly = monthly.where(D.is_year_end_month(F.col("valuation_month")) | last)
     return monthly.select(
         F.last_day("valuation_month").alias("valuation_date"),
         "claim_id",

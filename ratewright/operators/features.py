@@ -69,7 +69,7 @@ def auto_exposure_attributes(
             "prior_violations",
             "credit_tier",
             completed_age(F.col("date_of_birth"), inception).alias("driver_age"),
-            F.greatest(F.year(inception) - F.col("model_year"), F.lit(0)).alias("vehicle_age"),
+            _age(F.year(inception), F.col("model_year")).alias("vehicle_age"),
         )
     )
     own = exposure.where(F.col("line_of_business") == "personal_auto").select(
@@ -114,7 +114,7 @@ def property_exposure_attributes(
         "exposure_id", "policy_id", "risk_unit_id"
     )
     rated = own.join(unit.join(site, "location_id").drop("location_id"), "risk_unit_id").join(holder, "policy_id")
-    building_age = F.greatest(F.year("policy_effective_date") - F.col("year_built"), F.lit(0))
+    building_age = _age(F.year("policy_effective_date"), F.col("year_built"))
     return _unpivot(
         rated,
         {
@@ -128,6 +128,11 @@ def property_exposure_attributes(
     )
 
 
+def _age(year: Column, since: Column) -> Column:
+    """Whole years, at least 0; unknown where either year is."""
+    return F.when(year.isNotNull() & since.isNotNull(), F.greatest(year - since, F.lit(0)))
+
+
 def fct_exposure_attribute(auto: DataFrame, property_: DataFrame) -> DataFrame:
     return auto.unionByName(property_)
 

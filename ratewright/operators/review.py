@@ -18,13 +18,9 @@ _TRIANGLES = {
 }
 
 
-def review_triangles(triangle: DataFrame, max_development: int) -> DataFrame:
-    """Accident year by development, one row per segment, triangle and year.
-
-    The development columns are fixed in advance, so the schema does not depend
-    on the data and no extra job looks for them.
-    """
-    long = triangle.select(
+def review_triangle_cells(triangle: DataFrame) -> DataFrame:
+    """The cells of the review triangles in long form, whatever their development."""
+    return triangle.select(
         *YEAR_KEYS,
         "development",
         F.inline(
@@ -36,7 +32,17 @@ def review_triangles(triangle: DataFrame, max_development: int) -> DataFrame:
             )
         ),
     )
-    developments = list(range(max_development + 1))
+
+
+def review_triangles(triangle: DataFrame, at_least: int = 0) -> DataFrame:
+    """Accident year by development, one row per segment, triangle and year.
+
+    There is a column for every development up to the greatest in the data, which
+    one small job looks up, and for those up to ``at_least`` in any case.
+    """
+    long = review_triangle_cells(triangle)
+    greatest = triangle.agg(F.max("development").alias("d")).first().d
+    developments = list(range(max(at_least, greatest or 0) + 1))
     wide = long.groupBy(*SEGMENT, "triangle", "accident_year").pivot("development", developments).agg(F.sum("value"))
     return wide.withColumnsRenamed({str(d): f"dev_{d}" for d in developments})
 
@@ -67,9 +73,20 @@ def ultimate_candidates_by_method(losses: DataFrame, counts: DataFrame) -> DataF
 
 
 def review_ultimate_candidates(losses: DataFrame, counts: DataFrame) -> DataFrame:
-    """One row per accident year with a column for each method's loss and count."""
+    """One row per accident year with a column for each method's loss and count.
+
+    The usual methods have their columns in any case; any other method in the
+    candidates, of which there are a few typed names, has its own as well.
+    """
     by_method = ultimate_candidates_by_method(losses, counts)
-    methods = sorted(set(LOSS_METHODS) | set(COUNT_METHODS))
+    offered_methods = {
+        value: [*usual, *sorted(r.method for r in df.select("method").distinct().collect() if r.method not in usual)]
+        for value, usual, df in (
+            ("ultimate_loss", LOSS_METHODS, losses),
+            ("ultimate_claim_count", COUNT_METHODS, counts),
+        )
+    }
+    methods = sorted({m for offered in offered_methods.values() for m in offered})
     wide = (
         by_method.groupBy(*YEAR_KEYS)
         .pivot("method", methods)
@@ -80,7 +97,7 @@ def review_ultimate_candidates(losses: DataFrame, counts: DataFrame) -> DataFram
     )
     columns = [
         F.col(f"{m}_{value}").alias(f"{value}_{m}")
-        for value, offered in (("ultimate_loss", LOSS_METHODS), ("ultimate_claim_count", COUNT_METHODS))
+        for value, offered in offered_methods.items()
         for m in offered
     ]
     return wide.select(*YEAR_KEYS, *columns)

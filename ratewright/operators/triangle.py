@@ -235,9 +235,13 @@ def ldf_observations(triangle: DataFrame) -> DataFrame:
 
 
 def claim_triangle_cumulative(snapshot: DataFrame, policies: DataFrame, version: str = "v3") -> DataFrame:
-    """Segment, accident year and completed years of development, from a claim snapshot."""
+    """Segment, accident year and years of development, from a claim snapshot.
+
+    At a year end these are the completed years since any loss of the accident
+    year; at another valuation all claims of the year still share one cell.
+    """
     owner = policies.select("policy_id", "state", "risk_class", "vehicle_segment")
-    development = F.floor(D.month_boundaries(F.col("accident_date"), F.col("valuation_date")) / 12).cast("int")
+    development = (F.year("valuation_date") - F.year("accident_date")).cast("int")
     return (
         snapshot.join(owner, "policy_id", "left")
         .select(
@@ -267,10 +271,12 @@ def claim_triangle_from_events(
     calendar_start: date,
     version: str = "v3",
 ) -> DataFrame:
-    """The year-end pricing triangle without a claim snapshot.
+    """The pricing triangle without a claim snapshot: year ends and ``as_of``.
 
     At a year-end valuation the completed years of development are the years
-    between accident year and valuation year, i.e. annual age / 12 - 1.
+    between accident year and valuation year, i.e. annual age / 12 - 1. Where
+    ``as_of`` is no year end, its valuation is the last diagonal, so every claim
+    reported by then is in the triangle.
     """
     attributes = claims.select("claim_id", "policy_id", "loss_date")
     if any(version_flags(version)):
@@ -280,7 +286,7 @@ def claim_triangle_from_events(
         attributes = attributes.withColumns({c: F.lit("ALL") for c in SEGMENT})
     movements = claim_movements(claims, transactions, as_of, calendar_start).join(attributes, "claim_id")
     cells = accumulate_cells(movements, SEGMENT, ["annual"], as_of)
-    return cells.select(
+    year_ends = cells.select(
         *SEGMENT,
         F.year("accident_period").alias("accident_year"),
         (F.col("development_age_months") / 12 - 1).cast("int").alias("development"),
@@ -289,6 +295,22 @@ def claim_triangle_from_events(
         F.col("cumulative_incurred_loss").alias("cumulative_incurred"),
         F.col(COUNT).alias("cumulative_claim_count"),
     )
+    if as_of.month == 12:
+        return year_ends
+    accident_year = F.year("loss_date")
+    latest = movements.groupBy(*SEGMENT, accident_year.alias("accident_year")).agg(
+        (F.lit(as_of.year) - F.first(accident_year)).cast("int").alias("development"),
+        F.first(D.day(as_of)).alias("valuation_date"),
+        *[
+            from_cents(F.sum(AMOUNTS[CUMULATIVE.index(c)]), _TOTAL).alias(name)
+            for c, name in (
+                ("cumulative_paid_loss", "cumulative_paid"),
+                ("cumulative_incurred_loss", "cumulative_incurred"),
+            )
+        ],
+        F.sum("reported").alias("cumulative_claim_count"),
+    )
+    return year_ends.unionByName(latest)
 
 
 def claim_triangle_incremental(triangle: DataFrame) -> DataFrame:
