@@ -14,6 +14,7 @@ from ratewright.llm.common import materialize, table
 from ratewright.llm.queries import importable, tokenizer
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+CACHE_UNITS = 200_000  # the workers keep what other stages need as well
 TOXIC_FROM = 0.5  # a document with at least this score is rejected
 
 
@@ -44,7 +45,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
-    pieces = materialize(packing.token_pieces(docs, tokenizer("byte_bpe_50k.json")), "pieces")
+    pieces = materialize(packing.token_pieces(docs, tokenizer("byte_bpe_50k.json"), cache_units=CACHE_UNITS), "pieces")
     return packing.pack(pieces).drop("row")
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewright.llm.common import materialize
-from ratewright.llm.tokens import SPACED, encoder
+from ratewright.llm.tokens import CACHE_UNITS, SPACED, encoder
 from ratewright.llm.words import chunks
 
 BLOCK = 4096
@@ -40,9 +40,9 @@ SLACK = 0.97  # bins filled less go to the last level
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
-def _pieces(path: str, units: str, capacity: int, end_id: int, with_ids: bool):
+def _pieces(path: str, units: str, capacity: int, end_id: int, with_ids: bool, cache_units: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path, units)
+        own = encoder(path, units, cache_units)
         task = TaskContext.get()
         row = (task.partitionId() if task else 0) << 40
         end = np.array([end_id], dtype="<u4").tobytes()
@@ -80,11 +80,12 @@ def token_pieces(
     capacity: int = 1024,
     end_id: int = 2,
     with_ids: bool = False,
+    cache_units: int = CACHE_UNITS,
 ) -> DataFrame:
     """Pieces of at most ``capacity`` tokens of every document, with a row number unique in the table."""
     schema = f"{PIECE}, row bigint" + (", ids binary" if with_ids else "")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(_pieces(tokenizer_path, units, capacity, end_id, with_ids), schema)
+    return texts.mapInArrow(_pieces(tokenizer_path, units, capacity, end_id, with_ids, cache_units), schema)
 
 
 class Grouping:

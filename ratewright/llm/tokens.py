@@ -23,7 +23,7 @@ _STOP = r"[.,](?=\s|\Z)"
 SPACED = rf" ?{_LETTERS}+(?=[.,]?(?:\s|\Z))|{_STOP}| ?\S+|\s+(?!\S)|\s+"
 PLAIN = rf"{_LETTERS}+(?=[.,]?(?:\s|\Z))|{_STOP}|\S+"
 _ODD = r"[\x1c-\x1f\x85᠎​﻿]"
-CACHE_UNITS = 400_000  # per generation, of two; about 160 bytes each
+CACHE_UNITS = 1_000_000  # per generation, of two; about 160 bytes each
 CACHED_LENGTH = 40  # longer units are encoded but not kept
 ASK = 20_000  # units per call of the library
 
@@ -31,7 +31,7 @@ ASK = 20_000  # units per call of the library
 class Encoder:
     """Encodes texts; keeps the units of the present and the last generation."""
 
-    def __init__(self, path: str, units: str) -> None:
+    def __init__(self, path: str, units: str, cache_units: int = CACHE_UNITS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -39,6 +39,7 @@ class Encoder:
         special = [re.escape(t.content) for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._whole = re.compile("|".join([_ODD, *special]), re.IGNORECASE)
         self._units = re.compile(units)
+        self._cache_units = cache_units
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
@@ -67,7 +68,7 @@ class Encoder:
             else:
                 cut.append((i, units := self._units.findall(text)))
                 seen.update(units)
-        if len(self._young) > CACHE_UNITS:
+        if len(self._young) > self._cache_units:
             self._young, self._old = {}, self._young
         young, old = self._young, self._old
         unknown = [u for u in seen if u not in young]
@@ -88,6 +89,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, units: str) -> Encoder:
+def encoder(path: str, units: str, cache_units: int = CACHE_UNITS) -> Encoder:
     """The encoder of this worker process."""
-    return Encoder(path, units)
+    return Encoder(path, units, cache_units)
