@@ -205,7 +205,7 @@ _NEAR = r"""
 WITH RECURSIVE d AS (
     SELECT doc_id, list_filter(regexp_split_to_array(
         translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+        '[\x20\x09-\x0D]+'), lambda x : x <> '') AS w
     FROM documents
 ), s AS (
     SELECT DISTINCT doc_id, g FROM (
