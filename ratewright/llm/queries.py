@@ -8,7 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewright.llm import bitplanes, chat, decontaminate, exactdup, neardup, packing, sitestyle, toxicity, urlrank, warc
+from ratewright.llm import (
+    bitplanes,
+    chat,
+    decontaminate,
+    exactdup,
+    neardup,
+    packing,
+    prefixtrie,
+    sitestyle,
+    toxicity,
+    urlrank,
+    warc,
+)
 from ratewright.llm.common import materialize, scratch_path, table
 from ratewright.llm.tokens import PLAIN, SPACED
 
@@ -114,6 +126,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplanes.read_token_files(spark, path)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -131,6 +147,7 @@ _QUERIES = [
     op8_chat,
     op9_urls,
     op10_token_files,
+    op12_prefix_trie,
     pipeline,
 ]
 
@@ -253,6 +270,55 @@ FROM f GROUP BY conv_id
 """
 
 
+_TRIE = r"""
+WITH t AS (
+    SELECT conv_id, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS k, digest, bytes
+    FROM (SELECT conv_id, turn, strlen(COALESCE(text, '')) AS bytes,
+                 md5(strlen(COALESCE(role, '')) || ':' || COALESCE(role, '') || COALESCE(text, '')) AS digest
+          FROM conversations WHERE conv_id IS NOT NULL)
+), c AS (
+    SELECT conv_id, crc32 % 9 AS h, conv_id - conv_id % 5 AS donor
+    FROM (SELECT DISTINCT conv_id, {crc32} AS crc32 FROM conversations WHERE conv_id IS NOT NULL)
+), r AS (
+    SELECT conv_id, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY part, k) AS d, digest, bytes
+    FROM (SELECT c.conv_id, 0 AS part, k, digest, bytes FROM c JOIN t ON t.conv_id = c.donor AND k <= h
+          UNION ALL SELECT c.conv_id, 1, k, digest, bytes FROM c JOIN t ON t.conv_id = c.conv_id AND k > h)
+), p AS (
+    SELECT conv_id, 0 AS d, '' AS prefix, 0 AS bytes FROM c
+    UNION ALL
+    SELECT conv_id, d, string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY d), bytes FROM r
+), lens AS (
+    SELECT conv_id, MAX(d) AS len FROM p GROUP BY conv_id
+), n AS (
+    SELECT prefix, d, MIN(p.conv_id) AS conv_id, COUNT(*) AS n_convs, ANY_VALUE(bytes) AS bytes,
+           sha256(COALESCE(string_agg(CASE WHEN len = d THEN CAST(p.conv_id AS VARCHAR) END, ',' ORDER BY p.conv_id), '')) AS ends_sha256
+    FROM p JOIN lens USING (conv_id) GROUP BY prefix, d
+), k AS (
+    SELECT n.*, u.conv_id AS parent_conv_id FROM n LEFT JOIN p ON p.conv_id = n.conv_id AND p.d = n.d - 1
+    LEFT JOIN n AS u ON u.prefix = p.prefix
+), kids AS (
+    SELECT parent_conv_id AS conv_id, d - 1 AS d, COUNT(*) AS n_children FROM k WHERE d > 0 GROUP BY ALL
+), m AS (
+    SELECT k.*, COALESCE(n_children, 0) AS n_children FROM k LEFT JOIN kids USING (conv_id, d)
+), subtree AS (
+    SELECT p.prefix, SUM(CASE WHEN m.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+           SUM((m.n_convs - 1) * m.bytes) AS saved_tokens
+    FROM m JOIN p ON p.conv_id = m.conv_id AND p.d <= m.d GROUP BY p.prefix
+)
+SELECT conv_id, CAST(d AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM m JOIN subtree USING (prefix)
+"""
+
+
+def _crc32_sql(text: str) -> str:
+    """SQL of the CRC-32 of an ASCII text: the bitwise form over its characters."""
+    byte = f"list_transform(string_split({text}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))"
+    shift = "(CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)"
+    eight = "list_reduce(range(8), lambda v, i: " + shift + ", xor(a, b))"
+    return f"xor(list_reduce({byte}, lambda a, b: {eight}, 4294967295::BIGINT), 4294967295)"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontaminate": _WINDOWS,
@@ -260,4 +326,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_archive": _SHARED_PAYLOADS,
         "op6_exact_duplicates": _EQUAL_TEXTS,
         "op8_chat": _CHAT,
+        "op12_prefix_trie": _TRIE.format(crc32=_crc32_sql("CAST(conv_id AS VARCHAR)")),
     }
