@@ -15,6 +15,7 @@ from ratewright.llm import (
     exactdup,
     neardup,
     packing,
+    phrases,
     prefixtrie,
     sitestyle,
     toxicity,
@@ -130,6 +131,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixtrie.conversation_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=100, first=2000)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -148,6 +153,7 @@ _QUERIES = [
     op9_urls,
     op10_token_files,
     op12_prefix_trie,
+    op13_collocations,
     pipeline,
 ]
 
@@ -311,6 +317,45 @@ FROM m JOIN subtree USING (prefix)
 """
 
 
+_PHRASES = r"""
+WITH p AS (
+    SELECT COALESCE(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), w AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p
+), f AS (
+    SELECT lang, k, phrase, COUNT(*) AS a FROM (
+        SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+        FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 6) AS r(k) WHERE len(w) >= k))
+    GROUP BY ALL
+), n AS (
+    SELECT lang, SUM(a) AS n FROM f WHERE k = 1 GROUP BY lang
+), c AS (
+    SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 100
+), cuts AS (
+    SELECT c.lang, c.k, c.phrase, c.a, cut, l.a AS l, r.a AS r, n,
+           (1000::HUGEINT * c.a * n) // (l.a::HUGEINT * r.a) AS score
+    FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) AS c
+    JOIN f AS l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:cut], ' ')
+    JOIN f AS r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut + 1:], ' ')
+    JOIN n ON n.lang = c.lang
+), least AS (
+    SELECT * FROM cuts QUALIFY ROW_NUMBER() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inner_phrases AS (
+    SELECT lang, array_to_string(w[i:j], ' ') AS phrase, MAX(a) AS around
+    FROM (SELECT *, unnest(range(i + 1, k + 1)) AS j FROM (SELECT *, unnest(range(1, k)) AS i FROM c))
+    WHERE j - i + 1 < k GROUP BY ALL
+), kept AS (
+    SELECT lang, phrase, a, l, r, n, score FROM least LEFT JOIN inner_phrases USING (lang, phrase)
+    WHERE around IS NULL OR 100 * around < 100 * a
+)
+SELECT lang, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept QUALIFY rank <= 2000
+"""
+
+
 def _crc32_sql(text: str) -> str:
     """SQL of the CRC-32 of an ASCII text: the bitwise form over its characters."""
     byte = f"list_transform(string_split({text}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))"
@@ -327,4 +372,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_exact_duplicates": _EQUAL_TEXTS,
         "op8_chat": _CHAT,
         "op12_prefix_trie": _TRIE.format(crc32=_crc32_sql("CAST(conv_id AS VARCHAR)")),
+        "op13_collocations": _PHRASES,
     }
