@@ -37,11 +37,11 @@ from pyspark.sql import functions as F
 
 from ratewright.llm import doublearray
 from ratewright.llm.common import materialize
-from ratewright.llm.words import CHUNK_BYTES, byte_class, chunks, mix, powers, text_buffers, words_of
+from ratewright.llm.words import byte_class, mix, powers, segments, words_of
 
 LONGEST = 5
 ROW_CODES = 32_768  # codes of a stream in one row
-HELD = 2_000_000  # rows of counts a task holds before it passes them on
+HELD = 500_000  # rows of counts a task holds before it passes them on
 TRIE_PHRASES = 400_000  # candidates in one broadcast trie
 BITS = 26  # the bit array has 2**26 bits: 8 MiB
 
@@ -57,31 +57,6 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 # ---- texts to streams of word codes ----------------------------------------------------
 
 
-def segments(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, pa.Array, bool]]:
-    """(first row, texts, whole): rows of about ``limit`` bytes together; a longer row in parts.
-
-    Parts of a row are cut before a separator, so no word is cut; all but the first
-    have ``whole`` False.
-    """
-    for low, high in chunks(column, limit):
-        some = column.slice(low, high - low)
-        data, offsets = text_buffers(some)
-        if high - low > 1 or offsets[1] - offsets[0] <= limit:
-            yield low, some, True
-            continue
-        begin, end, whole = int(offsets[0]), int(offsets[1]), True
-        while begin < end:
-            cut, span = min(end, begin + limit), limit
-            while cut < end:
-                gaps = np.flatnonzero(~WORD[data[max(begin + 1, cut - span) : cut]])
-                if len(gaps):
-                    cut = max(begin + 1, cut - span) + int(gaps[-1])
-                    break
-                cut, span = min(end, cut + limit), limit
-            yield low, pa.array([data[begin:cut].tobytes()], pa.binary()), whole
-            begin, whole = cut, False
-
-
 def _lang_code(lang: str) -> np.uint64:
     return np.uint64(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"))
 
@@ -97,7 +72,7 @@ def _gather(words, some: np.ndarray) -> pa.Array:
 
 
 class _Tally:
-    """Counts by code; equal codes with unequal second codes are marked as a clash."""
+    """Counts by code; equal codes with unequal second codes in one task are marked as a clash."""
 
     def __init__(self):
         self.parts, self.rows = [], 0
@@ -123,11 +98,11 @@ class _Tally:
     def batches(self) -> Iterator[pa.RecordBatch]:
         part = self.merged()
         if part is not None:
-            codes, checks, langs, texts, counts, clash = part
+            codes, _, langs, texts, counts, clash = part
             whole = pa.RecordBatch.from_arrays(
                 [
                     pa.nulls(len(codes), pa.binary()), pa.nulls(len(codes), pa.int32()), pa.array(codes.view(np.int64)),
-                    pa.array(checks.view(np.int64)), langs, texts, pa.array(counts), pa.array(clash),
+                    langs, texts, pa.array(counts), pa.array(clash),
                 ],
                 names=_STREAM_FIELDS,
             )
@@ -136,7 +111,7 @@ class _Tally:
         self.parts, self.rows = [], 0
 
 
-_STREAM = "codes binary, own int, code bigint, twin bigint, lang string, word string, n bigint, clash boolean"
+_STREAM = "codes binary, own int, code bigint, lang string, word string, n bigint, clash boolean"
 _STREAM_FIELDS = [f.split()[0] for f in _STREAM.split(", ")]
 
 
@@ -161,7 +136,7 @@ def _encode(seed: int):
             names = [v.as_py() for v in tags.dictionary]
             lang_codes = np.array([_lang_code(v) for v in names], dtype=np.uint64)
             lang_of = tags.indices.to_numpy(zero_copy_only=False)
-            for row, some, whole in segments(texts):
+            for row, some, whole in segments(texts, WORD):
                 words = words_of(some, WORD)
                 ends_piece = BREAK[words.data]
                 before = np.concatenate(([0], np.cumsum(ends_piece)))
@@ -209,7 +184,7 @@ def _streams(rows: list[tuple[bytes, int]]) -> Iterator[pa.RecordBatch]:
     for codes, own in rows:
         yield pa.RecordBatch.from_arrays(
             [pa.array([codes], pa.binary()), pa.array([own], pa.int32())]
-            + [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.bool_())],
+            + [pa.nulls(1, t) for t in (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.bool_())],
             names=_STREAM_FIELDS,
         )
 
@@ -219,18 +194,17 @@ def word_streams(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     for seed in range(8):
         encoded = materialize(rows.mapInArrow(_encode(seed), _STREAM), "streams")
+        # dealt by code alone, so that two words of one code meet; tasks have added up their own rows
         words = materialize(
             encoded.where("code IS NOT NULL")
-            .groupBy("code")
-            .agg(
-                F.min("lang").alias("lang"),
-                F.min("word").alias("word"),
-                F.sum("n").alias("n"),
-                (F.bool_or("clash") | (F.min("twin") != F.max("twin"))).alias("clash"),
-            ),
+            .select("code", "lang", "word", "n", "clash")
+            .repartition("code")
+            .groupBy("code", "lang", "word")
+            .agg(F.sum("n").alias("n"), F.bool_or("clash").alias("clash")),
             "words",
         )
-        if not words.where("clash").limit(1).count():
+        twice = words.groupBy("code").agg(F.count(F.lit(1)).alias("rows"), F.bool_or("clash").alias("clash"))
+        if not twice.where("clash OR rows > 1").limit(1).count():
             return encoded.where("codes IS NOT NULL").select("codes", "own"), words.drop("clash")
     raise RuntimeError("words of equal codes under eight seeds")
 

@@ -322,25 +322,27 @@ WITH p AS (
     SELECT COALESCE(lang, 'und') AS lang, unnest(regexp_split_to_array(
         translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
     FROM documents
-), w AS (
+), w AS MATERIALIZED (
     SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p
-), f AS (
+), f AS MATERIALIZED (
     SELECT lang, k, phrase, COUNT(*) AS a FROM (
         SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
         FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 6) AS r(k) WHERE len(w) >= k))
     GROUP BY ALL
-), n AS (
+), n AS MATERIALIZED (
     SELECT lang, SUM(a) AS n FROM f WHERE k = 1 GROUP BY lang
-), c AS (
+), c AS MATERIALIZED (
     SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 100
-), cuts AS (
-    SELECT c.lang, c.k, c.phrase, c.a, cut, l.a AS l, r.a AS r, n,
-           (1000::HUGEINT * c.a * n) // (l.a::HUGEINT * r.a) AS score
-    FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) AS c
-    JOIN f AS l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:cut], ' ')
-    JOIN f AS r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut + 1:], ' ')
-    JOIN n ON n.lang = c.lang
-), least AS (
+), halves AS MATERIALIZED (
+    SELECT lang, k, phrase, a, cut, array_to_string(w[1:cut], ' ') AS head, array_to_string(w[cut + 1:], ' ') AS tail
+    FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)
+), heads AS MATERIALIZED (
+    SELECT halves.*, f.a AS l FROM halves JOIN f ON f.lang = halves.lang AND f.phrase = halves.head
+), tails AS MATERIALIZED (
+    SELECT heads.*, f.a AS r FROM heads JOIN f ON f.lang = heads.lang AND f.phrase = heads.tail
+), cuts AS MATERIALIZED (
+    SELECT tails.*, n, (1000::HUGEINT * a * n) // (l::HUGEINT * r) AS score FROM tails JOIN n USING (lang)
+), least AS MATERIALIZED (
     SELECT * FROM cuts QUALIFY ROW_NUMBER() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
 ), inner_phrases AS (
     SELECT lang, array_to_string(w[i:j], ' ') AS phrase, MAX(a) AS around

@@ -113,6 +113,32 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         row = end
 
 
+def segments(column: pa.Array, kind: np.ndarray, limit: int | None = None) -> Iterator[tuple[int, pa.Array, bool]]:
+    """(first row, texts, whole): rows of about ``limit`` bytes together; a longer row in parts.
+
+    Parts of a row are cut before a byte outside the class ``kind``, so no word is cut;
+    all but the first have ``whole`` False. The limit is ``CHUNK_BYTES`` if not given.
+    """
+    limit = limit or CHUNK_BYTES
+    for low, high in chunks(column, limit):
+        some = column.slice(low, high - low)
+        data, offsets = text_buffers(some)
+        if high - low > 1 or offsets[1] - offsets[0] <= limit:
+            yield low, some, True
+            continue
+        begin, end, whole = int(offsets[0]), int(offsets[1]), True
+        while begin < end:
+            seen, cut = begin + 1, min(end, begin + limit)
+            while cut < end:
+                gaps = np.flatnonzero(~kind[data[seen:cut]])
+                if len(gaps):
+                    cut = seen + int(gaps[-1])
+                    break
+                seen, cut = cut, min(end, cut + limit)
+            yield low, pa.array([data[begin:cut].tobytes()], pa.binary()), whole
+            begin, whole = cut, False
+
+
 def words_of(column: pa.Array, kind: np.ndarray) -> Words:
     """Words of all rows of a column whose bytes belong to the class ``kind``."""
     data, offsets = text_buffers(column)
