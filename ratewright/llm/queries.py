@@ -13,6 +13,7 @@ from ratewright.llm import (
     chat,
     decontaminate,
     exactdup,
+    gam,
     neardup,
     packing,
     phrases,
@@ -127,6 +128,17 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplanes.read_token_files(spark, path)
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = gam.train(docs, gam.train_fold(table(spark, sf_dir, "labels")))
+    return gam.score(docs, model).select(
+        "doc_id",
+        F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixtrie.conversation_trie(table(spark, sf_dir, "conversations"))
 
@@ -152,6 +164,7 @@ _QUERIES = [
     op8_chat,
     op9_urls,
     op10_token_files,
+    op11_quality,
     op12_prefix_trie,
     op13_collocations,
     pipeline,
