@@ -1,17 +1,22 @@
 """Phrase collocation mining: double-array tries of Apriori-safe candidates over all positions.
 
-One pass over the texts turns them into streams of 64-bit word codes, 0 at every break
-between pieces, and counts the words. Candidates grow by a word a level: a phrase of k
-words is a candidate if both phrases of k - 1 words in it are (Apriori) and if a
-distributed count of the phrases that occur does not rule it out. Apriori alone would
-propose every pair of frequent words, the square of the vocabulary. What a task needs to
-know of the level below is one bit array of fixed size, which has false positives only.
+Candidates grow by a word a level: a phrase of k words is a candidate if both phrases of
+k - 1 words in it are (Apriori) and if a distributed count of the phrases that occur does
+not rule it out. Apriori alone would propose every pair of frequent words, the square of
+the vocabulary. Words and pairs, of which most are rare, are first counted in 2**BITS
+buckets by their codes: a task adds its own up and sends each range of buckets as one
+packed row, and what lies in a bucket below the threshold is rare. Buckets only ever let
+too much through, never too little. What a task needs to know of the level below is one
+bit array of fixed size, with false positives only.
+
+One pass over the texts fills the word buckets. A second one turns the texts into streams
+of 64-bit word codes, 0 where a piece ends or a rare word stands, and counts the other words.
 
 The candidates then go, at most about ``TRIE_PHRASES`` at a time, into a double-array trie
 over the bytes of word numbers. Each trie is broadcast; a task starts a state at every text
 position, numpy advances all of them together level by level, bincount adds up the
-accepting states, and the tasks' sums are added. These counts decide. Streams are cut into
-rows that repeat the next ``LONGEST - 1`` codes, so no phrase is lost at a cut.
+accepting states, and the tasks' packed sums are added. These counts decide. Streams are
+cut into rows that repeat the next ``LONGEST - 1`` codes, so no phrase is lost at a cut.
 
 Scores are integers: products are DECIMAL(38), so nothing is rounded. A phrase falls if a
 longer candidate around it occurs as often. It is enough to look one word further: of a
@@ -20,7 +25,7 @@ phrase two words longer, the one in between occurs at least as often and is a ca
 Defined cases: null or empty texts have no words, null languages are ``und``; rows with
 equal ids are documents of their own (ids are not read, nor any other column); texts of
 any length are cut at separators into segments of ``words.CHUNK_BYTES``; two words of equal
-code are noticed by a second code, and the pass is made again with other codes; languages
+code are noticed by a second code, and the passes are made again with other codes; languages
 without phrases have no rows; ties of score and count are ordered by the phrase's bytes.
 """
 
@@ -32,18 +37,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewright.llm import doublearray
 from ratewright.llm.common import materialize
-from ratewright.llm.words import byte_class, mix, powers, segments, words_of
+from ratewright.llm.words import Words, byte_class, mix, powers, segments, words_of
 
 LONGEST = 5
 ROW_CODES = 32_768  # codes of a stream in one row
-HELD = 500_000  # rows of counts a task holds before it passes them on
+HELD = 1_000_000  # numbers a task holds before it adds them up or passes them on
 TRIE_PHRASES = 400_000  # candidates in one broadcast trie
-BITS = 26  # the bit array has 2**26 bits: 8 MiB
+BITS = 27  # the bit array has 2**27 bits: 16 MiB
+RANGE_BITS = 20  # buckets, or phrases, of one packed row
 
 #: ends of pieces: . , ; : ! ? and \n \v \f \r
 BREAK = byte_class((0x0A, 0x0D), *((ord(c), ord(c)) for c in ".,;:!?"))
@@ -54,6 +61,118 @@ _CODES_2 = np.random.default_rng(20250711).integers(1, 1 << 63, 256, dtype=np.ui
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+# ---- counts in shards --------------------------------------------------------------------
+
+
+def pack(ids: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending numbers below 2**32 and their counts: steps and counts by byte planes, compressed."""
+    rows = np.stack([np.diff(ids, prepend=0).astype("<u4"), counts.astype("<u4")])
+    planes = rows.view(np.uint8).reshape(2, -1, 4).transpose(0, 2, 1)
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8).reshape(2, 4, -1)
+    steps, counts = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<u4")[:, :, 0]
+    return np.cumsum(steps.astype(np.int64)), counts.astype(np.int64)
+
+
+class _Shard:
+    """Counts of numbers below 2**32 of one task, passed on as one packed row a range."""
+
+    def __init__(self):
+        self.held, self.size = [], 0
+
+    def add(self, ids: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        self.held.append((ids.astype(np.uint32), np.ones(len(ids), np.uint32)))
+        self.size += len(ids)
+        if self.size > 4 * HELD:
+            self._merge()
+            if self.size > 2 * HELD:
+                yield from self.rows()
+
+    def _merge(self) -> None:
+        ids, counts = (np.concatenate([h[i] for h in self.held]) for i in (0, 1))
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        new = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+        # a count beyond 32 bits would need that many positions in one task
+        self.held = [(ids[new], np.add.reduceat(counts[order].astype(np.int64), new).astype(np.uint32))]
+        self.size = len(new)
+
+    def rows(self) -> Iterator[tuple[int, bytes]]:
+        if self.size:
+            self._merge()
+            ids, counts = self.held[0]
+            ranges = ids >> RANGE_BITS
+            cuts = np.flatnonzero(np.concatenate(([True], ranges[1:] != ranges[:-1]))).tolist()
+            for low, high in zip(cuts, [*cuts[1:], len(ids)]):
+                yield int(ranges[low]), pack(ids[low:high] & ((1 << RANGE_BITS) - 1), counts[low:high])
+        self.held, self.size = [], 0
+
+
+def _sum_shards(then):
+    """Add up the packed rows of each range and give ``then(range, sums)``; rows come ordered by range."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        present, sums = None, None
+        for batch in batches:
+            for number, blob in zip(batch.column("range").to_pylist(), batch.column("blob").to_pylist()):
+                if number != present:
+                    if present is not None:
+                        yield then(present, sums)
+                    present, sums = number, np.zeros(1 << RANGE_BITS, dtype=np.int64)
+                ids, counts = unpack(blob)
+                sums[ids] += counts
+        if present is not None:
+            yield then(present, sums)
+
+    return run
+
+
+def _summed(shards: DataFrame, then, schema: str) -> DataFrame:
+    return shards.repartition("range").sortWithinPartitions("range").mapInArrow(_sum_shards(then), schema)
+
+
+def frequent_buckets(shards: DataFrame, least: int) -> np.ndarray:
+    """The bit array of buckets with at least ``least``."""
+
+    def bits(number: int, sums: np.ndarray) -> pa.RecordBatch:
+        packed = zstandard.ZstdCompressor(level=1).compress(np.packbits(sums >= least, bitorder="little").tobytes())
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([packed], pa.binary())], names=["range", "bits"])
+
+    out = np.zeros(1 << (BITS - 6), dtype=np.uint64)
+    wide = 1 << max(RANGE_BITS - 6, 0)
+    for row in _summed(shards, bits, "range int, bits binary").collect():  # 2**(BITS - RANGE_BITS) rows
+        found = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(row.bits)), dtype=np.uint64)
+        out[row.range * wide : (row.range + 1) * wide] = found
+    return out
+
+
+def bit_array(keys: DataFrame) -> np.ndarray:
+    """2**BITS bits, set at the upper bits of every ``key``; built in Spark, a slot of 64 bits a row."""
+    spot = F.shiftrightunsigned("key", 64 - BITS)
+    bit = F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(key, {64 - BITS}) & 63 AS INT))")
+    slots = (
+        keys.select(F.shiftright(spot, 6).alias("slot"), bit.alias("bit"))
+        .groupBy("slot")
+        .agg(F.bit_or("bit").alias("bits"))
+        .toArrow()  # at most 2**(BITS - 6) rows
+    )
+    out = np.zeros(1 << (BITS - 6), dtype=np.uint64)
+    out[slots.column("slot").to_numpy()] = slots.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def is_set(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    spot = keys >> np.uint64(64 - BITS)
+    return (bits[spot >> np.uint64(6)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _buckets(keys: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(64 - BITS)).astype(np.uint32)
+
+
 # ---- texts to streams of word codes ----------------------------------------------------
 
 
@@ -61,7 +180,7 @@ def _lang_code(lang: str) -> np.uint64:
     return np.uint64(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"))
 
 
-def _gather(words, some: np.ndarray) -> pa.Array:
+def _gather(words: Words, some: np.ndarray) -> pa.Array:
     """The words of numbers ``some`` as strings."""
     sizes = words.ends[some] - words.starts[some]
     stops = np.concatenate(([0], np.cumsum(sizes)))
@@ -71,19 +190,89 @@ def _gather(words, some: np.ndarray) -> pa.Array:
     ).cast(pa.string())
 
 
+@dataclass
+class _Read:
+    """The words of one segment: their codes, which begin a piece, and the language number of each."""
+
+    words: Words
+    codes: np.ndarray
+    twins: np.ndarray | None
+    begins: np.ndarray
+    langs: np.ndarray
+
+
+def _read(batches: Iterator[pa.RecordBatch], seed: int, twins: bool) -> Iterator[tuple[_Read, list[str]]]:
+    """Segments of (text, lang) batches in order, with the batch's languages."""
+    gap = False  # a piece ended after the last word of the row that goes on
+    for batch in batches:
+        texts = batch.column("text")
+        tags = pa.array([v if v is not None else "und" for v in batch.column("lang").to_pylist()], pa.string()).dictionary_encode()
+        names = tags.dictionary.to_pylist()
+        lang_codes = np.array([_lang_code(v) for v in names], dtype=np.uint64)
+        lang_of = tags.indices.to_numpy(zero_copy_only=False)
+        for row, some, whole in segments(texts, WORD):
+            words = words_of(some, WORD)
+            before = np.concatenate(([0], np.cumsum(BREAK[words.data])))
+            n = len(words.starts)
+            if not n:
+                gap = whole or gap or bool(before[-1])
+                continue
+            langs = lang_of[np.repeat(np.arange(len(some)), np.diff(words.first)) + row]
+            tag = lang_codes[langs]
+            codes, twin = mix(words.hashes + tag), None
+            if twins or seed:
+                size = len(words.data)
+                forward, back = powers(size + 1)
+                sums = np.zeros(size + 1, dtype=np.uint64)
+                np.cumsum(_CODES_2[words.data] * forward[:size], out=sums[1:])
+                twin = mix((sums[words.ends] - sums[words.starts]) * back[words.starts] + tag * _STEP)
+            if seed:
+                codes = mix(codes + twin * np.uint64(2 * seed + 1))
+            codes[codes == 0] = 1
+            begins = np.zeros(n, dtype=bool)
+            begins[1:] = before[words.starts[1:]] > before[words.ends[:-1]]
+            begins[words.first[:-1][np.diff(words.first) > 0]] = True
+            if not whole:
+                begins[0] = gap or before[words.starts[0]] > 0
+            gap = bool(before[-1] > before[words.ends[-1]])
+            yield _Read(words, codes, twin, begins, langs), names
+
+
+def _count_words(seed: int):
+    """Word buckets of a task, and its words by language."""
+
+    def row(number=None, blob=None, lang=None, n=None) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([number], pa.int32()), pa.array([blob], pa.binary()), pa.array([lang], pa.string()), pa.array([n], pa.int64())],
+            names=["range", "blob", "lang", "n"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, totals = _Shard(), {}
+        for read, names in _read(batches, seed, False):
+            for lang, n in zip(names, np.bincount(read.langs, minlength=len(names)).tolist()):
+                totals[lang] = totals.get(lang, 0) + n
+            yield from (row(*found) for found in shard.add(_buckets(read.codes)))
+        yield from (row(*found) for found in shard.rows())
+        for lang, n in totals.items():
+            if n:
+                yield row(lang=lang, n=n)
+
+    return run
+
+
 class _Tally:
     """Counts by code; equal codes with unequal second codes in one task are marked as a clash."""
 
     def __init__(self):
         self.parts, self.rows = [], 0
 
-    def add(self, codes, checks, langs, texts, counts, clash):
-        self.parts.append((codes, checks, langs, texts, counts, clash))
-        self.rows += len(codes)
+    def add(self, *part) -> None:
+        """codes, second codes, languages, words, counts and clashes"""
+        self.parts.append(part)
+        self.rows += len(part[0])
 
-    def merged(self):
-        if not self.rows:
-            return None
+    def merge(self) -> None:
         codes, checks, counts, clash = (np.concatenate([p[i] for p in self.parts]) for i in (0, 1, 4, 5))
         langs, texts = (pa.concat_arrays([p[i] for p in self.parts]) for i in (2, 3))
         order = np.argsort(codes, kind="stable")
@@ -91,14 +280,14 @@ class _Tally:
         low, high = (f.reduceat(checks[order], new) for f in (np.minimum, np.maximum))
         clash = np.logical_or.reduceat(clash[order], new) | (low != high)
         first = order[new]
-        part = codes[first], low, langs.take(pa.array(first)), texts.take(pa.array(first)), np.add.reduceat(counts[order], new), clash
-        self.parts, self.rows = [part], len(first)
-        return part
+        take = pa.array(first)
+        self.parts = [(codes[first], low, langs.take(take), texts.take(take), np.add.reduceat(counts[order], new), clash)]
+        self.rows = len(first)
 
     def batches(self) -> Iterator[pa.RecordBatch]:
-        part = self.merged()
-        if part is not None:
-            codes, _, langs, texts, counts, clash = part
+        if self.rows:
+            self.merge()
+            codes, _, langs, texts, counts, clash = self.parts[0]
             whole = pa.RecordBatch.from_arrays(
                 [
                     pa.nulls(len(codes), pa.binary()), pa.nulls(len(codes), pa.int32()), pa.array(codes.view(np.int64)),
@@ -115,6 +304,21 @@ _STREAM = "codes binary, own int, code bigint, lang string, word string, n bigin
 _STREAM_FIELDS = [f.split()[0] for f in _STREAM.split(", ")]
 
 
+def _without_lone(stream: np.ndarray) -> np.ndarray:
+    """A stream without words that have a 0 on both sides, and with one 0 for each run of them."""
+    solid = stream != 0
+    beside = np.zeros(len(stream), dtype=bool)
+    beside[1:] |= solid[:-1]
+    beside[:-1] |= solid[1:]
+    # the ends of the stream may go on
+    if len(stream):
+        beside[0] |= solid[0]
+        beside[-1] |= solid[-1]
+    kept = np.where(solid & ~beside, np.uint64(0), stream)
+    zero = kept == 0
+    return kept[~(zero & np.concatenate(([False], zero[:-1])))]
+
+
 def _stream_rows(stream: np.ndarray, last: bool) -> tuple[list[tuple[bytes, int]], np.ndarray]:
     """Rows of ``ROW_CODES`` own codes and the following ones, and what is left of the stream."""
     rows, at = [], 0
@@ -125,55 +329,31 @@ def _stream_rows(stream: np.ndarray, last: bool) -> tuple[list[tuple[bytes, int]
     return rows, stream[at:]
 
 
-def _encode(seed: int):
+def _spell(seed: int, shared):
+    """Streams of codes in frequent buckets, and these words with their counts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally, rest = _Tally(), np.empty(0, np.uint64)
-        gap = False  # a piece ended after the last word of the row that goes on
-        for batch in batches:
-            texts = batch.column("text")
-            langs = pa.array([v if v is not None else "und" for v in batch.column("lang").to_pylist()], pa.string())
-            tags = langs.dictionary_encode()
-            names = [v.as_py() for v in tags.dictionary]
-            lang_codes = np.array([_lang_code(v) for v in names], dtype=np.uint64)
-            lang_of = tags.indices.to_numpy(zero_copy_only=False)
-            for row, some, whole in segments(texts, WORD):
-                words = words_of(some, WORD)
-                ends_piece = BREAK[words.data]
-                before = np.concatenate(([0], np.cumsum(ends_piece)))
-                n = len(words.starts)
-                if not n:
-                    gap = (not whole and gap) or bool(ends_piece.any()) or whole
-                    continue
-                owner = np.repeat(np.arange(len(some)), np.diff(words.first)) + row
-                tag = lang_codes[lang_of[owner]]
-                forward, back = powers(len(words.data) + 1)
-                sums = np.zeros(len(words.data) + 1, dtype=np.uint64)
-                np.cumsum(_CODES_2[words.data] * forward[: len(words.data)], out=sums[1:])
-                twin = mix((sums[words.ends] - sums[words.starts]) * back[words.starts] + tag * _STEP)
-                codes = mix(words.hashes + tag)
-                if seed:
-                    codes = mix(codes + twin * np.uint64(2 * seed + 1))
-                codes[codes == 0] = 1
-                ends = np.zeros(n, dtype=bool)
-                ends[1:] = before[words.starts[1:]] > before[words.ends[:-1]]
-                firsts = words.first[:-1][np.diff(words.first) > 0]
-                ends[firsts] = True
-                if not whole:
-                    ends[0] = gap or before[words.starts[0]] > 0
-                gap = bool(before[-1] > before[words.ends[-1]])
-                rest = np.concatenate((rest, np.insert(codes, np.flatnonzero(ends), np.uint64(0))))
-                order = np.argsort(codes, kind="stable")
-                new = np.flatnonzero(np.concatenate(([True], codes[order][1:] != codes[order][:-1])))
-                first = order[new]
-                low, high = (f.reduceat(twin[order], new) for f in (np.minimum, np.maximum))
-                counts = np.diff(np.concatenate((new, [n]))).astype(np.int64)
-                tally.add(codes[first], low, langs.take(pa.array(owner[first])), _gather(words, first), counts, low != high)
-                if tally.rows > HELD:
-                    tally.merged()
-                    if tally.rows > HELD // 2:
-                        yield from tally.batches()
-                rows, rest = _stream_rows(rest, False)
-                yield from _streams(rows)
+        for read, names in _read(batches, seed, True):
+            codes, twins, n = read.codes, read.twins, len(read.codes)
+            often = is_set(shared.value, codes)
+            stream = np.insert(np.where(often, codes, np.uint64(0)), np.flatnonzero(read.begins), np.uint64(0))
+            rows, rest = _stream_rows(np.concatenate((rest, _without_lone(stream))), False)
+            yield from _streams(rows)
+            some = np.flatnonzero(often)
+            if not len(some):
+                continue
+            order = some[np.argsort(codes[some], kind="stable")]
+            new = np.flatnonzero(np.concatenate(([True], codes[order][1:] != codes[order][:-1])))
+            first = order[new]
+            low, high = (f.reduceat(twins[order], new) for f in (np.minimum, np.maximum))
+            counts = np.diff(np.concatenate((new, [len(order)]))).astype(np.int64)
+            langs = pa.array(names, pa.string()).take(pa.array(read.langs[first]))
+            tally.add(codes[first], low, langs, _gather(read.words, first), counts, low != high)
+            if tally.rows > HELD:
+                tally.merge()
+                if tally.rows > HELD // 2:
+                    yield from tally.batches()
         yield from _streams(_stream_rows(rest, True)[0])
         yield from tally.batches()
 
@@ -189,11 +369,15 @@ def _streams(rows: list[tuple[bytes, int]]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def word_streams(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Streams (codes, own) and words (code, lang, word, n) of ``docs(text, lang)``."""
+def word_streams(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Streams (codes, own), words (code, lang, word, n) of at least ``least``, and totals (lang, n)."""
+    spark = docs.sparkSession
     rows = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     for seed in range(8):
-        encoded = materialize(rows.mapInArrow(_encode(seed), _STREAM), "streams")
+        counted = materialize(rows.mapInArrow(_count_words(seed), "range int, blob binary, lang string, n bigint"), "word_buckets")
+        bits = frequent_buckets(counted.where("blob IS NOT NULL").select("range", "blob"), least)
+        shared = spark.sparkContext.broadcast(bits)
+        encoded = materialize(rows.mapInArrow(_spell(seed, shared), _STREAM), "streams")
         # dealt by code alone, so that two words of one code meet; tasks have added up their own rows
         words = materialize(
             encoded.where("code IS NOT NULL")
@@ -205,7 +389,9 @@ def word_streams(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         )
         twice = words.groupBy("code").agg(F.count(F.lit(1)).alias("rows"), F.bool_or("clash").alias("clash"))
         if not twice.where("clash OR rows > 1").limit(1).count():
-            return encoded.where("codes IS NOT NULL").select("codes", "own"), words.drop("clash")
+            totals = counted.where("lang IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n"))
+            streams = encoded.where("codes IS NOT NULL").select("codes", "own")
+            return streams, words.where(F.col("n") >= least).drop("clash"), totals
     raise RuntimeError("words of equal codes under eight seeds")
 
 
@@ -217,31 +403,41 @@ def roll(states: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return mix(states * _STEP + codes)
 
 
-def phrase_code(codes: np.ndarray) -> np.ndarray:
-    """Codes of the phrases in the rows of a matrix."""
-    out = codes[:, 0]
-    for k in range(1, codes.shape[1]):
-        out = roll(out, codes[:, k])
-    return out
+def _allowed(stream: np.ndarray, own: int, bits: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Own positions whose phrases of k - 1 words, there and one word on, are both set; and the k words' codes."""
+    if len(stream) < k:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    short, inner = stream[: len(stream) - k + 2], stream != 0
+    full = inner[: len(short)].copy()
+    for i in range(1, k - 1):
+        short = roll(short, stream[i : i + len(short)])
+        full &= inner[i : i + len(full)]
+    alive = full & is_set(bits, short)
+    at = np.flatnonzero(alive[:-1] & alive[1:])
+    at = at[at < own]
+    return at, roll(short[at], stream[at + k - 1])
 
 
-def bit_array(keys: DataFrame) -> np.ndarray:
-    """2**BITS bits, set at the upper bits of every ``key``; built in Spark, a slot of 64 bits a row."""
-    spot = F.shiftrightunsigned("key", 64 - BITS)
-    slots = (
-        keys.select(F.shiftright(spot, 6).alias("slot"), F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(key, {64 - BITS}) & 63 AS INT))").alias("bit"))
-        .groupBy("slot")
-        .agg(F.bit_or("bit").alias("bits"))
-        .toArrow()  # at most 2**(BITS - 6) rows
-    )
-    out = np.zeros(1 << (BITS - 6), dtype=np.uint64)
-    out[slots.column("slot").to_numpy()] = slots.column("bits").to_numpy().view(np.uint64)
-    return out
+def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, int]]:
+    for batch in batches:
+        for blob, own in zip(batch.column("codes"), batch.column("own").to_pylist()):
+            yield np.frombuffer(blob.as_buffer(), dtype=np.uint64), own
 
 
-def is_set(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    spot = keys >> np.uint64(64 - BITS)
-    return (bits[spot >> np.uint64(6)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
+def _count_pairs(shared):
+    """Pair buckets of a task."""
+
+    def row(number: int, blob: bytes) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([blob], pa.binary())], names=["range", "blob"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = _Shard()
+        for stream, own in _rows_of(batches):
+            _, keys = _allowed(stream, own, shared.value, 2)
+            yield from (row(*found) for found in shard.add(_buckets(keys)))
+        yield from (row(*found) for found in shard.rows())
+
+    return run
 
 
 def _grouped(codes: np.ndarray, keys: np.ndarray, counts: np.ndarray):
@@ -253,46 +449,52 @@ def _grouped(codes: np.ndarray, keys: np.ndarray, counts: np.ndarray):
     return codes[:, new], keys[new], np.add.reduceat(counts, new)
 
 
-def _sieve(shared, k: int):
-    """Phrases of k words that occur and whose parts of k - 1 words may be candidates, with counts."""
+def _sieve(shared, k: int, own_bits=None):
+    """Phrases of k words that occur and whose parts of k - 1 words may be candidates, with counts.
+
+    With ``own_bits`` only those that are set there themselves.
+    """
 
     def emit(codes, keys, counts) -> Iterator[pa.RecordBatch]:
         for low in range(0, len(counts), 20_000):
             some = slice(low, low + 20_000)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[some].view(np.int64)), pa.array(counts[some])] + [pa.array(c[some].view(np.int64)) for c in codes],
-                names=["key", "n", *(f"c{i}" for i in range(1, k + 1))],
+                [pa.array(counts[some])] + [pa.array(c[some].view(np.int64)) for c in codes],
+                names=["n", *(f"c{i}" for i in range(1, k + 1))],
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, held, size = shared.value, [], 0
-        for batch in batches:
-            for blob, own in zip(batch.column("codes"), batch.column("own").to_pylist()):
-                stream = np.frombuffer(blob.as_buffer(), dtype=np.uint64)
-                m = len(stream) - k + 1
-                if m <= 0:
-                    continue
-                short, inner = stream[: len(stream) - k + 2], stream != 0
-                full = inner[: len(short)].copy()
-                for i in range(1, k - 1):
-                    short = roll(short, stream[i : i + len(short)])
-                    full &= inner[i : i + len(full)]
-                alive = full & is_set(bits, short)
-                at = np.flatnonzero(alive[:-1] & alive[1:])
-                at = at[at < own]
-                if not len(at):
-                    continue
-                codes = np.stack([stream[at + i] for i in range(k)])
-                held.append(_grouped(codes, roll(short[at], codes[-1]), np.ones(len(at), np.int64)))
-                size += len(held[-1][1])
-                if size > HELD:
-                    whole = _grouped(*(np.concatenate([h[i] for h in held], axis=-1) for i in range(3)))
-                    held, size = [whole], len(whole[1])
-                    if size > HELD // 2:
-                        yield from emit(*whole)
-                        held, size = [], 0
+        held, size = [], 0
+        together = lambda: _grouped(*(np.concatenate([h[i] for h in held], axis=-1) for i in range(3)))
+        for stream, own in _rows_of(batches):
+            at, keys = _allowed(stream, own, shared.value, k)
+            if own_bits is not None:
+                often = is_set(own_bits.value, keys)
+                at, keys = at[often], keys[often]
+            if not len(at):
+                continue
+            held.append(_grouped(np.stack([stream[at + i] for i in range(k)]), keys, np.ones(len(at), np.int64)))
+            size += len(held[-1][1])
+            if size > HELD:
+                held = [together()]
+                size = len(held[0][1])
+                if size > HELD // 2:
+                    yield from emit(*held[0])
+                    held, size = [], 0
         if held:
-            yield from emit(*_grouped(*(np.concatenate([h[i] for h in held], axis=-1) for i in range(3))))
+            yield from emit(*together())
+
+    return run
+
+
+def _keyed(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = [batch.column(f"c{i}").to_numpy().view(np.uint64) for i in range(1, k + 1)]
+            key = codes[0]
+            for other in codes[1:]:
+                key = roll(key, other)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64))], names=["key"])
 
     return run
 
@@ -300,21 +502,24 @@ def _sieve(shared, k: int):
 def candidates(streams: DataFrame, words: DataFrame, least: int) -> DataFrame:
     """(c1..c5): every phrase of 2 to ``LONGEST`` words that may occur ``least`` times."""
     spark = streams.sparkSession
-    level = words.where(F.col("n") >= least).select(F.col("code").alias("key"))
-    found = None
+    shared = spark.sparkContext.broadcast(bit_array(words.select(F.col("code").alias("key"))))
+    pairs = frequent_buckets(streams.mapInArrow(_count_pairs(shared), "range int, blob binary"), least)
+    own_bits, found = spark.sparkContext.broadcast(pairs), None
     for k in range(2, LONGEST + 1):
-        shared = spark.sparkContext.broadcast(bit_array(level))
         names = [f"c{i}" for i in range(1, k + 1)]
-        schema = ", ".join(["key bigint, n bigint", *(f"{c} bigint" for c in names)])
+        schema = ", ".join(["n bigint", *(f"{c} bigint" for c in names)])
         level = materialize(
-            streams.mapInArrow(_sieve(shared, k), schema)
+            streams.mapInArrow(_sieve(shared, k, own_bits), schema)
             .groupBy(*names)
-            .agg(F.sum("n").alias("n"), F.first("key").alias("key"))
+            .agg(F.sum("n").alias("n"))
             .where(F.col("n") >= least)
-            .select("key", *names),
+            .select(*names),
             f"candidates_{k}",
         )
-        some = level.drop("key").select(*names, *(F.lit(None).cast("bigint").alias(f"c{i}") for i in range(k + 1, LONGEST + 1)))
+        own_bits = None
+        if k < LONGEST:
+            shared = spark.sparkContext.broadcast(bit_array(level.mapInArrow(_keyed(k), "key bigint")))
+        some = level.select(*names, *(F.lit(None).cast("bigint").alias(f"c{i}") for i in range(k + 1, LONGEST + 1)))
         found = some if found is None else found.unionByName(some)
     return materialize(found, "candidates")
 
@@ -326,6 +531,7 @@ def candidates(streams: DataFrame, words: DataFrame, least: int) -> DataFrame:
 class PhraseTrie:
     """Word codes in order, the bytes a word number takes, and the trie of the phrases' numbers."""
 
+    phrases: int
     vocabulary: np.ndarray
     width: int
     array: doublearray.DoubleArray
@@ -338,7 +544,7 @@ class PhraseTrie:
         width = max(1, -(-max(1, len(vocabulary) - 1).bit_length() // 8))
         numbers = np.where(inside, np.searchsorted(vocabulary, codes), 0)
         digits = np.stack([(numbers >> (8 * (width - 1 - i))) & 255 for i in range(width)], axis=2).reshape(len(codes), -1)
-        return PhraseTrie(vocabulary, width, doublearray.build(digits, lengths * width))
+        return PhraseTrie(len(codes), vocabulary, width, doublearray.build(digits, lengths * width))
 
     def accepted(self, stream: np.ndarray, own: int) -> np.ndarray:
         """Accepting states, as numbers of phrases from 1 on, of the first ``own`` positions."""
@@ -363,24 +569,42 @@ class PhraseTrie:
         return np.concatenate(found) if found else np.empty(0, np.int32)
 
 
-def _count(shared, size: int):
+def _count(shared):
+    """Counts of a task's accepting states, packed by ranges of phrases."""
+
+    def row(number: int, counts: np.ndarray) -> pa.RecordBatch:
+        seen = np.flatnonzero(counts)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([number], pa.int32()), pa.array([pack(seen, counts[seen])], pa.binary())], names=["range", "blob"]
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals, held, n = np.zeros(size + 1, dtype=np.int64), [], 0
-        for batch in batches:
-            for blob, own in zip(batch.column("codes"), batch.column("own").to_pylist()):
-                held.append(shared.value.accepted(np.frombuffer(blob.as_buffer(), dtype=np.uint64), own))
-                n += len(held[-1])
-                if n > size:
-                    totals += np.bincount(np.concatenate(held), minlength=size + 1)
-                    held, n = [], 0
+        trie = shared.value
+        totals, held, n = np.zeros(trie.phrases + 1, dtype=np.int64), [], 0
+        add = lambda: np.bincount(np.concatenate(held), minlength=trie.phrases + 1)
+        for stream, own in _rows_of(batches):
+            held.append(trie.accepted(stream, own))
+            n += len(held[-1])
+            if n > trie.phrases:
+                totals += add()
+                held, n = [], 0
         if held:
-            totals += np.bincount(np.concatenate(held), minlength=size + 1)
-        seen = 1 + np.flatnonzero(totals[1:])
-        yield pa.RecordBatch.from_arrays([pa.array(seen - 1), pa.array(totals[seen])], names=["number", "n"])
+            totals += add()
+        for number in range(-(-trie.phrases >> RANGE_BITS) or 1):
+            counts = totals[1:][number << RANGE_BITS : (number + 1) << RANGE_BITS]
+            if counts.any():
+                yield row(number, counts)
 
     return run
 
 
+def _numbered(number: int, sums: np.ndarray) -> pa.RecordBatch:
+    seen = np.flatnonzero(sums)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(seen + (number << RANGE_BITS)), pa.array(sums[seen])], names=["number", "a"]
+    )
+
+
 def count_phrases(streams: DataFrame, phrases: DataFrame, least: int, at_once: int = TRIE_PHRASES) -> DataFrame:
     """(codes, a) of the phrases (c1..c5) that occur at least ``least`` times."""
     spark = streams.sparkSession
@@ -396,7 +620,7 @@ def count_phrases(streams: DataFrame, phrases: DataFrame, least: int, at_once: i
         lengths = sum((np.asarray(c.is_valid()).astype(np.int64) for c in columns))
         codes = np.stack([c.fill_null(0).to_numpy().view(np.uint64) for c in columns], axis=1)
         shared = spark.sparkContext.broadcast(PhraseTrie.of(codes, lengths))
-        sums = streams.mapInArrow(_count(shared, len(codes)), "number bigint, n bigint").groupBy("number").agg(F.sum("n").alias("a"))
+        sums = _summed(streams.mapInArrow(_count(shared), "range int, blob binary"), _numbered, "number bigint, a bigint")
         numbered = spark.createDataFrame(some.append_column("number", pa.array(np.arange(len(codes)))))
         part = materialize(
             numbered.join(sums.where(F.col("a") >= least), "number").select(
@@ -417,10 +641,8 @@ def collocations(docs: DataFrame, least: int = 100, first: int = 2000, at_once:
 
     Gives lang, rank, phrase, a, l, r, n and score.
     """
-    streams, words = word_streams(docs)
-    common = words.where(F.col("n") >= least)
-    phrases = count_phrases(streams, candidates(streams, words, least), least, at_once)
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    streams, common, totals = word_streams(docs, least)
+    phrases = count_phrases(streams, candidates(streams, common, least), least, at_once)
     # every part of a candidate occurs as often as it or more often, so it is here
     parts = phrases.unionByName(common.select(F.array("code").alias("codes"), F.col("n").alias("a")))
     spelled = (

@@ -95,26 +95,60 @@ def test_tables_without_phrases(spark):
 
 def test_a_clash_of_codes_is_noticed_and_other_codes_are_taken(spark, monkeypatch):
     rows = [("red fox blue fox red fox", "en")] * 3
-    real = phrases.mix
-    seen = []
+    seen, original = [], phrases._spell
 
-    def encode(seed):
+    def spell(seed, shared):
         seen.append(seed)
-        run = original(seed)
+        run = original(seed, shared)
 
         def clashing(batches):
             for batch in run(batches):
-                if seed == 0 and "clash" in batch.schema.names and batch.column("clash").null_count == 0:
-                    at = batch.schema.get_field_index("clash")
+                at = batch.schema.get_field_index("clash")
+                if seed == 0 and batch.column(at).null_count == 0:
                     batch = batch.set_column(at, "clash", pa.array([True] * batch.num_rows))
                 yield batch
 
         return clashing
 
-    original = phrases._encode
-    monkeypatch.setattr(phrases, "_encode", encode)
+    monkeypatch.setattr(phrases, "_spell", spell)
     assert found(spark, rows, 2) == brute(rows, 2)
-    assert seen == [0, 1] and phrases.mix is real
+    assert seen == [0, 1]
+
+
+@given(st.dictionaries(st.integers(0, (1 << 32) - 1), st.integers(1, (1 << 32) - 1), min_size=1, max_size=50))
+@settings(max_examples=60, deadline=None)
+def test_packed_counts_come_back(counts):
+    ids = sorted(counts)
+    got_ids, got = phrases.unpack(phrases.pack(np.array(ids, np.int64), np.array([counts[i] for i in ids])))
+    assert got_ids.tolist() == ids and got.tolist() == [counts[i] for i in ids]
+
+
+@given(st.lists(st.lists(st.integers(0, 5), max_size=30), max_size=6), st.sampled_from([2, 1000]))
+@settings(max_examples=60, deadline=None)
+def test_a_shard_adds_up_whatever_it_passes_on_early(lists, held):
+    phrases_held, phrases.HELD = phrases.HELD, held
+    try:
+        shard, rows, spread = phrases._Shard(), [], 700_000
+        for ids in lists:
+            rows += list(shard.add(np.array(ids, np.uint32) * np.uint32(spread)))
+        rows += list(shard.rows())
+    finally:
+        phrases.HELD = phrases_held
+    total = collections.Counter()
+    for number, blob in rows:
+        for i, n in zip(*phrases.unpack(blob)):
+            total[(number << phrases.RANGE_BITS) + int(i)] += int(n)
+    assert total == collections.Counter(i * spread for ids in lists for i in ids)
+
+
+@given(st.lists(st.integers(0, 2), max_size=40))
+@settings(max_examples=200, deadline=None)
+def test_streams_lose_nothing_but_words_without_a_neighbour(stream):
+    runs = lambda s: [r for r in "".join(map(str, s)).split("0") if len(r) > 1]
+    got = phrases._without_lone(np.array(stream, np.uint64))
+    assert runs(got.tolist()) == runs(stream)
+    if stream:
+        assert (got[0] == 0) == (stream[0] == 0) or stream[0] != 0
 
 
 @given(st.sets(st.lists(st.integers(0, 255), min_size=1, max_size=6).map(tuple), min_size=1, max_size=300))
