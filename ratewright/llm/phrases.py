@@ -24,7 +24,7 @@ phrase two words longer, the one in between occurs at least as often and is a ca
 
 Defined cases: null or empty texts have no words, null languages are ``und``; rows with
 equal ids are documents of their own (ids are not read, nor any other column); texts of
-any length are cut at separators into segments of ``words.CHUNK_BYTES``; two words of equal
+any length are cut at separators into segments of ``SEGMENT_BYTES``; two words of equal
 code are noticed by a second code, and the passes are made again with other codes; languages
 without phrases have no rows; ties of score and count are ordered by the phrase's bytes.
 """
@@ -47,7 +47,8 @@ from ratewright.llm.words import Words, byte_class, mix, powers, segments, words
 
 LONGEST = 5
 ROW_CODES = 32_768  # codes of a stream in one row
-HELD = 1_000_000  # numbers a task holds before it adds them up or passes them on
+HELD = 500_000  # numbers a task holds before it adds them up or passes them on
+SEGMENT_BYTES = 1 << 18  # text read at once; arrays over it take some hundred times as much
 TRIE_PHRASES = 400_000  # candidates in one broadcast trie
 BITS = 27  # the bit array has 2**27 bits: 16 MiB
 RANGE_BITS = 20  # buckets, or phrases, of one packed row
@@ -84,20 +85,20 @@ class _Shard:
         self.held, self.size = [], 0
 
     def add(self, ids: np.ndarray) -> Iterator[tuple[int, bytes]]:
-        self.held.append((ids.astype(np.uint32), np.ones(len(ids), np.uint32)))
+        self.held.append((ids, np.broadcast_to(np.uint32(1), len(ids))))
         self.size += len(ids)
-        if self.size > 4 * HELD:
+        if self.size > HELD:
             self._merge()
-            if self.size > 2 * HELD:
+            if self.size > HELD // 2:
                 yield from self.rows()
 
     def _merge(self) -> None:
         ids, counts = (np.concatenate([h[i] for h in self.held]) for i in (0, 1))
-        order = np.argsort(ids, kind="stable")
+        order = np.argsort(ids, kind="stable").astype(np.uint32)
         ids = ids[order]
         new = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
         # a count beyond 32 bits would need that many positions in one task
-        self.held = [(ids[new], np.add.reduceat(counts[order].astype(np.int64), new).astype(np.uint32))]
+        self.held = [(ids[new], np.add.reduceat(counts[order], new, dtype=np.uint32))]
         self.size = len(new)
 
     def rows(self) -> Iterator[tuple[int, bytes]]:
@@ -210,7 +211,7 @@ def _read(batches: Iterator[pa.RecordBatch], seed: int, twins: bool) -> Iterator
         names = tags.dictionary.to_pylist()
         lang_codes = np.array([_lang_code(v) for v in names], dtype=np.uint64)
         lang_of = tags.indices.to_numpy(zero_copy_only=False)
-        for row, some, whole in segments(texts, WORD):
+        for row, some, whole in segments(texts, WORD, SEGMENT_BYTES):
             words = words_of(some, WORD)
             before = np.concatenate(([0], np.cumsum(BREAK[words.data])))
             n = len(words.starts)

@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ratewright.llm import doublearray, phrases, words
+from ratewright.llm import doublearray, phrases
 from ratewright.llm.queries import importable
 
 DOCS = "doc_id bigint, text string, lang string, code bigint, n int, rank string"
@@ -79,7 +79,7 @@ def test_equal_to_a_count_of_all_phrases(spark, monkeypatch, row_codes, at_once)
 
 
 def test_long_texts_in_segments(spark, monkeypatch):
-    monkeypatch.setattr(words, "CHUNK_BYTES", 64)
+    monkeypatch.setattr(phrases, "SEGMENT_BYTES", 64)
     rng = random.Random(5)
     long = "".join(rng.choice(["aa", "b", "cc", "d" * 100]) + rng.choice([" ", " ", ". ", "\t"]) for _ in range(4000))
     rows = [(long, "en"), ("aa b cc", "en"), (long[::-1], "de"), ("z" * 500, "de"), ("..!" * 90 + "aa b", "en")]
