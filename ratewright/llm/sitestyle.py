@@ -1,21 +1,28 @@
 """Main text of web pages by a site style tree.
 
-The DOMs of a host's pages are merged by style path (tags and classes from the root).
-A presentation node's importance is the entropy of the child sequences that pages have
+The whole DOMs of a host's pages, menus and articles alike, are merged by style path
+(tags and classes from the root). A presentation node's importance is the entropy of the child sequences that pages have
 there, a content node's that of its texts, both to the base of the number of pages
 that have the node, so what a host repeats is near 0 and what differs is near 1; a
 node on one page is important. A branch combines its own with the mean of its leaves,
 as in composite importance. Branches below ``THRESHOLD`` on at least ``PAGES`` pages
 are removed from each page of the host, unless nothing would be left.
 
-Entropy alone cannot tell that a menu or an advert that differs from page to page is
-none of the article, and would drop a paragraph that many pages quote. Branches whose
-element or class says what they are (``navigation``, ``advert``, ...) therefore have
-no importance, and plain blocks inside ``article`` or ``main`` have full importance.
-Where a page has such an element, only its content counts.
+Importance cannot tell that a menu or an advert that differs from page to page is none
+of the article, and would drop a paragraph that many pages quote. Two ties are therefore
+broken by what the markup says. A branch whose element or class names it (``navigation``,
+``advert``, ...) has no importance. Where that would leave nothing of a page's articles,
+the names of branches that hold them do not count: a wrapper called ``has-sidebar`` or a
+form around the page is no sidebar and no form. Names never judge a paragraph, heading,
+list item or cell inside an article. And plain blocks inside
+``article`` or ``main`` have full importance. Where a page has such an element, only its
+content counts.
 
 Defined cases: null html is empty; broken markup is read as browsers do in the simple
-cases (unclosed blocks, stray end tags, ``<`` as text); a page without text gives "".
+cases (unclosed blocks, stray end tags, ``<`` as text); a page without text gives "";
+pages without a host are one host; repeated rows are pages of their own; tables without
+rows give none; of other columns nothing is read, whatever their names. A page is read
+whole in one task, in time and memory that grow with its length.
 """
 
 from __future__ import annotations
@@ -25,7 +32,9 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,15 +58,17 @@ _ATTRIBUTE = re.compile(r"""([^\s=/"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"
 VOID = frozenset(
     ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
 )
-RAW = frozenset(["script", "style", "noscript", "template", "iframe", "textarea", "title", "xmp", "svg", "math"])
+RAW = frozenset(["script", "style", "noscript", "template", "iframe", "textarea", "title", "xmp", "svg"])
+#: these may stand in the middle of a paragraph without ending it
+INLINE_RAW = frozenset(["script", "style", "noscript", "template", "iframe", "svg"])
 INLINE = frozenset(
     ["a", "abbr", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img"]
-    + ["ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "td", "th"]
+    + ["ins", "kbd", "label", "mark", "math", "mfrac", "mi", "mn", "mo", "mrow", "msqrt", "msub", "msup", "mtext", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "td", "th"]
     + ["time", "tt", "u", "var", "wbr"]
 )
 BOILERPLATE_TAGS = frozenset(
     ["aside", "button", "datalist", "dialog", "footer", "form", "head", "header", "menu", "nav", "select"]
-    + ["audio", "canvas", "fieldset", "label", "legend", "object", "option", "video"]
+    + ["audio", "canvas", "fieldset", "legend", "object", "option", "video"]
 ) | RAW
 BOILERPLATE_ROLES = frozenset(
     ["alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar"]
@@ -76,6 +87,11 @@ PLAIN = frozenset(
     + ["h5", "h6", "header", "hgroup", "html", "li", "main", "ol", "p", "pre", "section", "table", "tbody", "tfoot"]
     + ["thead", "tr", "ul"]
 )
+#: elements of running text, which names do not judge inside an article
+TEXT = frozenset(
+    ["blockquote", "dd", "dt", "figcaption", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ol", "p", "pre", "table", "tbody"]
+    + ["tfoot", "thead", "tr", "ul"]
+)
 #: an opening tag ends an open one of these
 ENDS = {
     "li": frozenset(["li", "p"]),
@@ -97,7 +113,11 @@ class Block:
     text: str
     in_article: bool
     plain: bool
-    boilerplate: bool
+    element: _Open
+
+    def boilerplate(self, lift: bool = False) -> bool:
+        """Hidden, or below an element named as something else; ``lift`` names of wrappers around an article."""
+        return self.element.is_boilerplate(lift)
 
 
 @dataclass
@@ -106,20 +126,37 @@ class _Open:
     path: str
     in_article: bool
     plain: bool
-    boilerplate: bool
+    hidden: bool
+    named: bool
+    above: _Open | None
     children: list[str]
+    holds_article: bool = False
+
+    def is_boilerplate(self, lift: bool) -> bool:
+        at: _Open | None = self
+        while at is not None:
+            wrapper = lift and at.holds_article and (at.tag == "form" or at.tag not in BOILERPLATE_TAGS)
+            if at.hidden or (at.named and not wrapper):
+                return True
+            at = at.above
+        return False
+
 
+def _is_hidden(attributes: dict[str, str]) -> bool:
+    return "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true"
 
-def _is_boilerplate(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+
+def _is_named(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
     if tag in ("body", "html", "article", "main"):
-        words: set[str] = set(re.split(r"[\s_-]+", attributes.get("class", "").lower())) if tag == "article" else set()
-        return bool(words & {"comment", "comments", "ad", "advert", "related"})
+        # a reader's comment is an article too; a class that only has such a word in it says nothing
+        own = set(attributes.get("class", "").lower().split()) if tag == "article" else set()
+        return bool(own & {"comment", "comments", "ad", "advert", "related"})
     if tag == "header" and in_article:  # the article's own head
         return False
     if tag in BOILERPLATE_TAGS or attributes.get("role", "").lower() in BOILERPLATE_ROLES:
         return True
-    if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
-        return True
+    if in_article and tag in TEXT:
+        return False
     named = f"{attributes.get('class', '')} {attributes.get('id', '')}"
     return bool(set(re.split(r"[\s_-]+", named.lower())) & BOILERPLATE_WORDS)
 
@@ -128,7 +165,7 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, str]]]:
     """Text blocks in page order, and (path, child sequence) of every element with children."""
     blocks: list[Block] = []
     styles: list[tuple[str, str]] = []
-    stack = [_Open("", "", False, True, False, [])]
+    stack = [_Open("", "", False, True, False, False, None, [])]
     run: list[str] = []
     at = 0
 
@@ -137,7 +174,7 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, str]]]:
         run.clear()
         if text:
             top = stack[-1]
-            blocks.append(Block(top.path, text, top.in_article, top.plain, top.boilerplate))
+            blocks.append(Block(top.path, text, top.in_article, top.plain, top))
 
     def pop() -> None:
         done = stack.pop()
@@ -153,7 +190,7 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, str]]]:
             continue
         tag = tag.lower()
         closing = match[1] or match[4]
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in INLINE_RAW:
             close_block()
         elif tag in ("br", "td", "th"):
             run.append(" ")
@@ -187,16 +224,20 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, str]]]:
         name = tag + "".join(f".{c}" for c in sorted(attributes.get("class", "").split()))
         above.children.append(name)
         in_article = above.in_article or tag in ("article", "main") or attributes.get("role") == "main"
-        stack.append(
-            _Open(
-                tag,
-                f"{above.path}/{name}",
-                in_article,
-                above.plain and tag in PLAIN if above.in_article else tag in PLAIN or not in_article,
-                above.boilerplate or _is_boilerplate(tag, attributes, above.in_article),
-                [],
-            )
+        opened = _Open(
+            tag,
+            f"{above.path}/{name}",
+            in_article,
+            above.plain and tag in PLAIN if above.in_article else tag in PLAIN or not in_article,
+            _is_hidden(attributes),
+            _is_named(tag, attributes, above.in_article),
+            above,
+            [],
         )
+        if in_article and not above.in_article and not opened.named:
+            for element in stack:
+                element.holds_article = True
+        stack.append(opened)
     close_block()
     while len(stack) > 1:
         pop()
@@ -211,7 +252,10 @@ def branches(path: str) -> list[str]:
 
 def main_text(page: str | None, removed: frozenset[str] = frozenset()) -> str:
     """The text of a page without boilerplate and the removed branches of its host."""
-    found = [b for b in parse(page or "")[0] if not b.boilerplate]
+    blocks = parse(page or "")[0]
+    found = [b for b in blocks if not b.boilerplate()]
+    if not any(b.in_article for b in found) and any(b.in_article for b in blocks):
+        found = [b for b in blocks if not b.boilerplate(lift=True)]
     if any(b.in_article for b in found):
         found = [b for b in found if b.in_article]
     kept = [
@@ -220,37 +264,44 @@ def main_text(page: str | None, removed: frozenset[str] = frozenset()) -> str:
     return "\n".join(b.text for b in kept or found)
 
 
+_NODES_HELD = 100_000  # counted nodes a task holds before it passes them on
+
+
+def page_nodes(page: str | None) -> set[tuple[str, int, str]]:
+    """(path, kind, feature) of one page: kind 0 with child sequences, kind 1 with texts."""
+    blocks, styles = parse(page or "")
+    return {(b.path, 1, b.text) for b in blocks} | {(path, 0, style) for path, style in styles}
+
+
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, path, kind, feature), each once per page: child sequences and texts of open branches."""
+    """(host, path, kind, feature, n): on how many pages of a task a node has a feature, hashed."""
+    counts: dict[tuple[str, str, int, int], int] = {}
+
+    def rows() -> pa.RecordBatch:
+        hosts, paths, kinds, features = zip(*counts) if counts else ((), (), (), ())
+        arrays = [
+            pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(kinds, pa.int32()),
+            pa.array(np.array(features, dtype=np.uint64).view(np.int64)), pa.array(list(counts.values()), pa.int64()),
+        ]
+        counts.clear()
+        return pa.RecordBatch.from_arrays(arrays, names=["host", "path", "kind", "feature", "n"])
+
     for batch in batches:
-        hosts, paths, kinds, features = [], [], [], []
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            blocks, styles = parse(page or "")
-            seen = {
-                (b.path, 1, b.text) for b in blocks if not (b.boilerplate or (b.in_article and b.plain))
-            }
-            # styles matter where a branch could be removed: at and above those blocks
-            open_paths = {p for b in seen for p in branches(b[0])}
-            seen |= {(path, 0, style) for path, style in styles if path in open_paths}
-            for path, kind, feature in seen:
-                hosts.append(host)
-                paths.append(path)
-                kinds.append(kind)
-                features.append(feature)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(kinds, pa.int32()), pa.array(features, pa.string())],
-            names=["host", "path", "kind", "feature"],
-        )
+            for path, kind, feature in page_nodes(page):
+                key = (host, path, kind, xxhash.xxh3_64_intdigest(feature))
+                counts[key] = counts.get(key, 0) + 1
+            if len(counts) > _NODES_HELD:
+                yield rows()
+    yield rows()
 
 
 def node_importance(pages: DataFrame) -> DataFrame:
     """(host, path, kind, pages, importance) of the merged nodes of every host."""
     nodes = pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string").alias("html")).mapInArrow(
-        _nodes, "host string, path string, kind int, feature string"
-    )
-    counts = nodes.groupBy("host", "path", "kind", F.xxhash64("feature").alias("feature")).agg(
-        F.count(F.lit(1)).alias("n")
+        _nodes, "host string, path string, kind int, feature bigint, n bigint"
     )
+    counts = nodes.groupBy("host", "path", "kind", "feature").agg(F.sum("n").alias("n"))
     # - sum p log p with p = n / m is log m - (sum n log n) / m
     return (
         counts.groupBy("host", "path", "kind")
