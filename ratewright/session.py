@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     # split a join partition that one key fills, even where that costs a shuffle
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # bounds what a Python worker holds of its input
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     # a join on (coverage, month) may reuse rows already hashed on coverage
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
