@@ -649,4 +649,6 @@ def prefix_trie(paths: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFrame:
 
 def conversation_trie(turns: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFrame:
     """The trie of ``turns(conv_id, turn, role, text)`` with heads shared within groups of five ids."""
-    return prefix_trie(share_heads(conversation_turns(turns)), block_turns)
+    # both sides of the head join read it, and the texts are to be read once
+    paths = materialize(conversation_turns(turns), "conversation_paths")
+    return prefix_trie(share_heads(paths), block_turns)
