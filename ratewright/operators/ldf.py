@@ -2,6 +2,11 @@
 
 Everything here works on the pricing triangle: segment x accident year x year of
 development. That table is small whatever the size of the book.
+
+Factors come from whole years only. A valuation within a year leaves a last diagonal of
+partial cells (``age_months`` not a multiple of 12): a ratio into or out of such a cell
+would measure fewer months than its neighbours. ``cdf_by_month`` gives the factors that
+develop those cells to ultimate.
 """
 
 from __future__ import annotations
@@ -25,10 +30,15 @@ def _by_development() -> WindowSpec:
     return Window.partitionBy(*SEGMENT, "accident_year").orderBy("development")
 
 
+def whole_years(triangle: DataFrame) -> DataFrame:
+    """The cells valued at the end of a development year; all, if no cell tells its age."""
+    return triangle.where("age_months % 12 = 0") if "age_months" in triangle.columns else triangle
+
+
 def ldf_raw(triangle: DataFrame) -> DataFrame:
     """Ratio of the next cell to this one, per accident year."""
     by_dev = _by_development()
-    return triangle.select(
+    return whole_years(triangle).select(
         *SEGMENT,
         "accident_year",
         "development",
@@ -47,7 +57,7 @@ def development_pairs(triangle: DataFrame) -> DataFrame:
     """Cells that have a successor exactly one development later, with both values."""
     by_dev = _by_development()
     ahead = {f"next_{c}": F.lead(c).over(by_dev) for c, _ in MEASURES.values()}
-    return triangle.withColumns({**ahead, "next_development": F.lead("development").over(by_dev)}).where(
+    return whole_years(triangle).withColumns({**ahead, "next_development": F.lead("development").over(by_dev)}).where(
         F.col("next_development") == F.col("development") + 1
     )
 
@@ -77,7 +87,8 @@ def ldf_last3_weighted(triangle: DataFrame) -> DataFrame:
     recent = development_pairs(triangle).withColumn("nth", F.row_number().over(latest)).where("nth <= 3")
     factors = _volume_factors(recent, "last3")
     return (
-        triangle.select(*_CELL)
+        whole_years(triangle)
+        .select(*_CELL)
         .distinct()
         .join(factors, _CELL, "left")
         .select(
@@ -132,3 +143,31 @@ def cdf(selected: DataFrame, measure: str) -> DataFrame:
     factor = F.col(f"selected_ldf_{MEASURES[measure][1]}")
     later = Window.partitionBy(*SEGMENT).orderBy(F.col("development").desc())
     return selected.select(*_CELL, F.exp(F.sum(F.ln(factor)).over(later)).alias("cdf"))
+
+
+def cdf_by_month(cdf: DataFrame, hold_tail: bool = False) -> DataFrame:
+    """The factor to ultimate at every age in months, from the factors at whole years.
+
+    The developed share 1 / CDF is taken to grow evenly between two year ends, and from
+    nothing over the first year, so a factor at 12 (development + 1) months is the given
+    one. Ages past the last factor have none, and neither have those on the way to a year
+    end without one; with ``hold_tail`` the last factor serves the year after it too.
+    """
+    by_dev = Window.partitionBy(*SEGMENT).orderBy("development")
+    start = F.when(F.col("development") == 0, 0.0).when(
+        F.lag("development").over(by_dev) == F.col("development") - 1, 1 / F.lag("cdf").over(by_dev)
+    )
+    last = F.lead("development").over(by_dev).isNull()
+    months = F.when(last & F.lit(hold_tail), 23).otherwise(12)
+    month = F.col("month")
+    even = 1 / (F.col("start") + (1 / F.col("cdf") - F.col("start")) * month / 12)
+    return (
+        cdf.select(*_CELL, "cdf", start.alias("start"), months.alias("months"))
+        .withColumn("month", F.explode(F.sequence(F.lit(1), F.col("months"))))
+        .select(
+            *SEGMENT,
+            (F.col("development") * 12 + month).cast("int").alias("age_months"),
+            F.when(month >= 12, F.col("cdf")).otherwise(even).alias("cdf"),
+        )
+        .where("cdf IS NOT NULL")
+    )

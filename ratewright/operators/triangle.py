@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ratewright.functions import dates as D
 from ratewright.functions.money import from_cents, ratio_if_positive, to_cents
-from ratewright.functions.segments import SEGMENT, segment_columns, version_flags
+from ratewright.functions.segments import SEGMENT, by_versions, segment_columns, version_flags
 from ratewright.operators.calendar import first_accident_month
 from ratewright.operators.claims import AMOUNTS, CHANGES, CUMULATIVE, claim_attributes
 
@@ -237,8 +237,10 @@ def ldf_observations(triangle: DataFrame) -> DataFrame:
 def claim_triangle_cumulative(snapshot: DataFrame, policies: DataFrame, version: str = "v3") -> DataFrame:
     """Segment, accident year and years of development, from a claim snapshot.
 
-    At a year end these are the completed years since any loss of the accident
-    year; at another valuation all claims of the year still share one cell.
+    ``age_months`` counts from the start of the accident year to the valuation. At a
+    year end it is a multiple of 12 and ``development`` the completed years since any
+    loss of the year. At another valuation all claims of the year still share one
+    partial cell, in the development year that is under way.
     """
     owner = policies.select("policy_id", "state", "risk_class", "vehicle_segment")
     development = (F.year("valuation_date") - F.year("accident_date")).cast("int")
@@ -248,12 +250,13 @@ def claim_triangle_cumulative(snapshot: DataFrame, policies: DataFrame, version:
             *segment_columns(version),
             F.year("accident_date").alias("accident_year"),
             development.alias("development"),
+            (development * 12 + F.month("valuation_date")).alias("age_months"),
             "valuation_date",
             "claim_id",
             "cumulative_paid",
             "incurred",
         )
-        .groupBy(*SEGMENT, "accident_year", "development", "valuation_date")
+        .groupBy(*SEGMENT, "accident_year", "development", "age_months", "valuation_date")
         .agg(
             F.sum("cumulative_paid").cast(_TOTAL).alias("cumulative_paid"),
             F.sum("incurred").cast(_TOTAL).alias("cumulative_incurred"),
@@ -275,8 +278,8 @@ def claim_triangle_from_events(
 
     At a year-end valuation the completed years of development are the years
     between accident year and valuation year, i.e. annual age / 12 - 1. Where
-    ``as_of`` is no year end, its valuation is the last diagonal, so every claim
-    reported by then is in the triangle.
+    ``as_of`` is no year end, its valuation is a last diagonal of partial cells, so
+    every claim reported by then is in the triangle; ``age_months`` tells them apart.
     """
     attributes = claims.select("claim_id", "policy_id", "loss_date")
     if any(version_flags(version)):
@@ -290,6 +293,7 @@ def claim_triangle_from_events(
         *SEGMENT,
         F.year("accident_period").alias("accident_year"),
         (F.col("development_age_months") / 12 - 1).cast("int").alias("development"),
+        F.col("development_age_months").cast("int").alias("age_months"),
         "valuation_date",
         F.col("cumulative_paid_loss").alias("cumulative_paid"),
         F.col("cumulative_incurred_loss").alias("cumulative_incurred"),
@@ -300,6 +304,7 @@ def claim_triangle_from_events(
     accident_year = F.year("loss_date")
     latest = movements.groupBy(*SEGMENT, accident_year.alias("accident_year")).agg(
         (F.lit(as_of.year) - F.first(accident_year)).cast("int").alias("development"),
+        ((F.lit(as_of.year) - F.first(accident_year)) * 12 + as_of.month).cast("int").alias("age_months"),
         F.first(D.day(as_of)).alias("valuation_date"),
         *[
             from_cents(F.sum(AMOUNTS[CUMULATIVE.index(c)]), _TOTAL).alias(name)
@@ -313,6 +318,23 @@ def claim_triangle_from_events(
     return year_ends.unionByName(latest)
 
 
+def claim_triangle_versions(finest: DataFrame, config: DataFrame) -> DataFrame:
+    """The pricing triangle of every segmentation version, from the triangle of the finest segments.
+
+    Once a segment has a cell it has one at every later valuation, so sums of finest
+    cells are the cells of any coarser segment.
+    """
+    keys = ["accident_year", "development", "age_months", "valuation_date"]
+    sums = ["cumulative_paid", "cumulative_incurred", "cumulative_claim_count"]
+    rolled = by_versions(finest, config, keys, sums)
+    return rolled.select(
+        "segmentation_version",
+        *SEGMENT,
+        *keys,
+        *[F.col(c).cast(finest.schema[c].dataType).alias(c) for c in sums],
+    )
+
+
 def claim_triangle_incremental(triangle: DataFrame) -> DataFrame:
     """Change since the previous development; NULL in the first cell."""
     by_dev = Window.partitionBy(*SEGMENT, "accident_year").orderBy("development")

@@ -12,19 +12,19 @@ YEAR_KEYS = [*SEGMENT, "accident_year"]
 
 
 def latest_diagonal(triangle: DataFrame, *columns: str) -> DataFrame:
-    """Most developed cell of each accident year."""
+    """Most developed cell of each accident year, be it a whole year's or a partial one."""
     return triangle.groupBy(*YEAR_KEYS).agg(
         F.max("development").alias("development"), *[F.max_by(c, "development").alias(c) for c in columns]
     )
 
 
-def ultimate_chain_ladder(triangle: DataFrame, cdf: DataFrame, measure: str) -> DataFrame:
-    """Latest diagonal times CDF; a development without a CDF has no ultimate."""
+def ultimate_chain_ladder(triangle: DataFrame, by_month: DataFrame, measure: str) -> DataFrame:
+    """Latest diagonal times the CDF at its age in months; an age without a CDF has no ultimate."""
     column = MEASURES[measure][0]
     name = "ultimate_claim_count" if measure == "claim_count" else "ultimate_loss"
     return (
-        latest_diagonal(triangle, column)
-        .join(cdf, [*SEGMENT, "development"])
+        latest_diagonal(triangle, column, "age_months")
+        .join(by_month, [*SEGMENT, "age_months"])
         .select(*YEAR_KEYS, (F.col(column).cast("double") * F.col("cdf")).alias(name))
     )
 

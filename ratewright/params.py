@@ -33,3 +33,5 @@ class Params:
             raise ValueError(f"as_of must be a month end, got {self.as_of.isoformat()}")
         if self.calendar_start >= self.calendar_end:
             raise ValueError("calendar_start must precede calendar_end")
+        if self.as_of >= self.calendar_end:
+            raise ValueError("as_of must lie in the calendar: its months would be cut off")
