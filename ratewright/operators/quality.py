@@ -57,16 +57,19 @@ def expression_is_true(df: DataFrame, expression: str) -> DataFrame:
     return df.where(~F.expr(expression))
 
 
-def accepted_range(
-    df: DataFrame, column: str, low: float | None = None, high: float | None = None, inclusive: bool = True
-) -> DataFrame:
-    c = F.col(column)
+def out_of_range(c: Column, low: float | None, high: float | None, inclusive: bool = True) -> Column:
     bad = F.lit(False)
     if low is not None:
         bad = bad | ((c < low) if inclusive else (c <= low))
     if high is not None:
         bad = bad | ((c > high) if inclusive else (c >= high))
-    return df.where(bad)
+    return bad
+
+
+def accepted_range(
+    df: DataFrame, column: str, low: float | None = None, high: float | None = None, inclusive: bool = True
+) -> DataFrame:
+    return df.where(out_of_range(F.col(column), low, high, inclusive))
 
 
 def effective_date_valid(df: DataFrame, column: str, today: date, min_date: date = date(2010, 1, 1)) -> DataFrame:
@@ -79,7 +82,7 @@ def effective_date_valid(df: DataFrame, column: str, today: date, min_date: date
 
 @dataclass(frozen=True)
 class TableContract:
-    """What a source table promises."""
+    """What a table promises. ``key`` is empty where no single column is unique."""
 
     key: str
     required: list[str]
@@ -87,6 +90,8 @@ class TableContract:
     references: dict[str, tuple[str, str]] = field(default_factory=dict)
     expressions: dict[str, str] = field(default_factory=dict)
     unique_keys: list[str] = field(default_factory=list)
+    combinations: list[list[str]] = field(default_factory=list)
+    ranges: dict[str, tuple[float | None, float | None, bool]] = field(default_factory=dict)  # low, high, inclusive
 
 
 _STATES = ["CA", "TX", "FL", "NY", "IL", "PA", "OH", "GA", "NC", "MI"]
@@ -288,34 +293,6 @@ def count_failures(df: DataFrame, table: str, rule: str) -> DataFrame:
     )
 
 
-def unique_report(tables: dict[str, DataFrame], contract: dict[str, TableContract] = CONTRACT) -> DataFrame:
-    return _stack(
-        [
-            count_failures(unique(tables[t], c), t, c)
-            for t, k in contract.items()
-            for c in [k.key, *k.unique_keys]
-        ]
-    )
-
-
-def unique_combination_report(
-    tables: dict[str, DataFrame], combinations: dict[str, list[str]] = UNIQUE_COMBINATIONS
-) -> DataFrame:
-    return _stack(
-        [count_failures(unique_combination(tables[t], c), t, "+".join(c)) for t, c in combinations.items()]
-    )
-
-
-def relationships_report(tables: dict[str, DataFrame], contract: dict[str, TableContract] = CONTRACT) -> DataFrame:
-    return _stack(
-        [
-            count_failures(relationships(tables[t], c, tables[parent], key), t, c)
-            for t, k in contract.items()
-            for c, (parent, key) in k.references.items()
-        ]
-    )
-
-
 # ---- claims ---------------------------------------------------------------------
 
 
@@ -335,6 +312,35 @@ def claim_cumulative_incurred_reconciles(cumulative: DataFrame) -> DataFrame:
     )
 
 
+def state_period_faults(periods: DataFrame) -> DataFrame:
+    """State periods of a claim that overlap, leave a gap, are empty or occur twice.
+
+    Without such a row every day from a claim's first period on lies in exactly one
+    period, so (claim, valuation date) is unique and complete for any calendar; the
+    valuations themselves need not be listed. Periods meet their neighbours in order:
+    the window holds one row for each distinct period, however often it occurs.
+    """
+    distinct = periods.groupBy("claim_id", "valid_from_date", "valid_to_date").agg(F.count(F.lit(1)).alias("row_count"))
+    earlier = (
+        Window.partitionBy("claim_id")
+        .orderBy("valid_from_date", "valid_to_date")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    begins, ends, before = F.col("valid_from_date"), F.col("valid_to_date"), F.col("covered_to_date")
+    fault = (
+        F.when(begins.isNull() | ends.isNull() | (ends <= begins), "empty")
+        .when(F.col("row_count") > 1, "repeated")
+        .when(begins < before, "overlap")
+        .when(begins > before, "gap")
+    )
+    return (
+        distinct.withColumn("covered_to_date", F.max("valid_to_date").over(earlier))
+        .withColumn("fault", fault)
+        .where("fault IS NOT NULL")
+        .select("claim_id", "valid_from_date", "valid_to_date", "covered_to_date", "row_count", "fault")
+    )
+
+
 def claim_snapshot_population(claims: DataFrame, valuation_dates: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Valuation dates whose snapshot does not hold every claim reported by then.
 
@@ -590,13 +596,17 @@ def claim_snapshot_reconciles(events: DataFrame, valuation_dates: DataFrame, sna
 def triangle_reconciles_to_snapshot(
     snapshot: DataFrame, policies: DataFrame, triangle: DataFrame, version: str = "v3"
 ) -> DataFrame:
-    keys = [*YEAR_KEYS, "development", "valuation_date"]
+    keys = [*YEAR_KEYS, "development", "age_months", "valuation_date"]
     owner = policies.select("policy_id", "state", "risk_class", "vehicle_segment")
-    years = F.floor(D.month_boundaries(F.col("accident_date"), F.col("valuation_date")) / 12).cast("int")
+    started = F.make_date(F.year("accident_date"), F.lit(1), F.lit(1))
+    age = (D.month_boundaries(started, F.col("valuation_date")) + 1).cast("int")
     expected = (
         snapshot.join(owner, "policy_id", "left")
         .groupBy(
-            *segment_columns(version), F.year("accident_date").alias("accident_year"), years.alias("development"),
+            *segment_columns(version),
+            F.year("accident_date").alias("accident_year"),
+            F.floor((age - 1) / 12).cast("int").alias("development"),
+            age.alias("age_months"),
             "valuation_date",
         )
         .agg(
@@ -681,11 +691,12 @@ def cdf_rising(cdf: DataFrame) -> DataFrame:
 
 
 def ultimate_equals_latest_at_unit_cdf(
-    ultimate: DataFrame, triangle: DataFrame, cdf: DataFrame, measure: str
+    ultimate: DataFrame, triangle: DataFrame, by_month: DataFrame, measure: str
 ) -> DataFrame:
     column = MEASURES[measure][0]
     value = "ultimate_claim_count" if measure == "claim_count" else "ultimate_loss"
-    joined = ultimate.join(latest_diagonal(triangle, column), YEAR_KEYS).join(cdf, [*SEGMENT, "development"], "left")
+    latest = latest_diagonal(triangle, column, "age_months")
+    joined = ultimate.join(latest, YEAR_KEYS).join(by_month, [*SEGMENT, "age_months"], "left")
     gap = F.abs(F.col(value) - F.col(column).cast("double"))
     return joined.where((F.coalesce("cdf", F.lit(1.0)) == 1) & (gap > 0.000001)).select(
         *YEAR_KEYS, value, column, "cdf"
