@@ -6,15 +6,15 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ratewright.functions.keys import natural_key
 from ratewright.functions.text import normalize_value
 from ratewright.sources import schemas
-from ratewright.sources.tables import append_table, upper_case_headers
+from ratewright.sources.tables import overwrite_table, table_or_empty, upper_case_headers
 
 ROW_MARK = "__row__"
 
@@ -226,13 +226,37 @@ def run_metadata_row(version: DataFrame, metadata_id: str) -> DataFrame:
     )
 
 
-def _table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+# ---- the upload as a commit --------------------------------------------------------
+
+_ATTEMPTS = 20
+_COMMITS = "version_commits"
+
+
+def _create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file; False if it exists. The file system decides, so one of two writers wins."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
     try:
-        return spark.read.schema(schema).parquet(path)
+        out = files.create(target, False)
+    except Py4JJavaError as failed:
+        if "FileAlreadyExistsException" not in failed.java_exception.getClass().getName():
+            raise
+        return False
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def commit_log(spark: SparkSession, root: str) -> DataFrame:
+    """The register of versions, one committed file each. Copies follow it."""
+    schema = schemas.GOVERNANCE["assumption_version"]
+    try:
+        rows = spark.read.schema(schema).json(f"{root}/{_COMMITS}/*")
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
+    return rows.where("assumption_set_id IS NOT NULL")
 
 
 def upload_assumption(
@@ -247,39 +271,66 @@ def upload_assumption(
     task_id: str | None = None,
     uploaded_at: datetime | None = None,
 ) -> str:
-    """Register a new version of an assumption table below ``root``; returns its set id.
-
-    Each version is written to its own folder and the register names it. The log,
-    the metadata and the data are in place before the register row that makes
-    them current, so a job that dies part way leaves the old version in force.
+    """Commit a new version of an assumption table below ``root``; returns its set id.
+
+    Each version is written to its own folder and the register names it. The data comes
+    first, then the version is committed by creating the file of its sequence number,
+    which exactly one of several uploads at the same time can do. The others find a new
+    current version, compare with that one and try the next number. The change log lies
+    under its set's id and is in place before the commit; a log without a committed set
+    means nothing. Register and metadata tables are copies by set id, made afterwards: what
+    a job that died has not copied, the next upload copies. So a job that dies part way
+    either changes nothing or leaves a complete version.
     """
     spark = new.sparkSession
     kind, keys = ASSUMPTION_TYPES[assumption_type], key_columns(assumption_type)
     require_unique_keys(new, keys)
-    register_path = f"{root}/assumption_version"
-    register = _table_or_empty(spark, register_path, schemas.GOVERNANCE["assumption_version"])
-    previous = current_assumption(spark, root, assumption_type)
     set_id = str(uuid.uuid4())
     at = uploaded_at or datetime.now(timezone.utc).replace(tzinfo=None)
-    changes = change_log(
-        new.limit(0) if previous is None else previous, new, keys, set_id, assumption_type, kind.file_name, at
-    )
-    change_count = append_table(changes, f"{root}/assumption_change_log")
-    row_count = append_table(new, f"{root}/{kind.table.lower()}/assumption_set_id={set_id}")
-    version = version_row(
-        register, assumption_type, set_id, row_count, change_count, author, at, comment, version_label,
-        dag_id, dag_run_id, task_id,
-    )
-    append_table(run_metadata_row(version, str(uuid.uuid4())), f"{root}/pipeline_run_metadata")
-    append_table(version, register_path)
-    return set_id
+    row_count = overwrite_table(new, _of_set(root, kind.table.lower(), set_id))
+    for _ in range(_ATTEMPTS):
+        register = commit_log(spark, root)
+        previous = _current(register, root, assumption_type)
+        changes = change_log(
+            new.limit(0) if previous is None else previous, new, keys, set_id, assumption_type, kind.file_name, at
+        )
+        change_count = overwrite_table(
+            changes.drop("assumption_set_id"), _of_set(root, "assumption_change_log", set_id)
+        )
+        version = version_row(
+            register, assumption_type, set_id, row_count, change_count, author, at, comment, version_label,
+            dag_id, dag_run_id, task_id,
+        )
+        row = version.select("version_sequence", F.to_json(F.struct("*")).alias("text")).first()  # one row
+        if _create_if_absent(spark, f"{root}/{_COMMITS}/{assumption_type}/{row.version_sequence:09d}.json", row.text):
+            copy_register(spark, root)
+            return set_id
+    raise RuntimeError(f"{assumption_type}: {_ATTEMPTS} other uploads came first")
+
+
+def _of_set(root: str, table: str, set_id: str) -> str:
+    return f"{root}/{table}/assumption_set_id={set_id}"
+
+
+def copy_register(spark: SparkSession, root: str) -> None:
+    """Bring the register and metadata tables up to the committed versions; running it again changes nothing."""
+    committed = commit_log(spark, root)
+    held = table_or_empty(spark, f"{root}/assumption_version", schemas.GOVERNANCE["assumption_version"])
+    missing = committed.join(held, "assumption_set_id", "left_anti").select(*committed.columns)
+    for row in missing.collect():  # the versions since the last upload
+        version = spark.createDataFrame([row], committed.schema)
+        metadata = run_metadata_row(version, str(uuid.uuid5(uuid.NAMESPACE_OID, row.assumption_set_id)))
+        for df, table in ((metadata, "pipeline_run_metadata"), (version, "assumption_version")):
+            overwrite_table(df.drop("assumption_set_id"), _of_set(root, table, row.assumption_set_id))
 
 
 def current_assumption(spark: SparkSession, root: str, assumption_type: str) -> DataFrame | None:
-    """The registered current version of an assumption table, if there is one."""
-    kind = ASSUMPTION_TYPES[assumption_type]
-    register = _table_or_empty(spark, f"{root}/assumption_version", schemas.GOVERNANCE["assumption_version"])
+    """The committed current version of an assumption table, if there is one."""
+    return _current(commit_log(spark, root), root, assumption_type)
+
+
+def _current(register: DataFrame, root: str, assumption_type: str) -> DataFrame | None:
     set_id = next_version(register, assumption_type).first().previous_assumption_set_id  # one row
     if set_id is None:
         return None
-    return spark.read.parquet(f"{root}/{kind.table.lower()}/assumption_set_id={set_id}")
+    return register.sparkSession.read.parquet(_of_set(root, ASSUMPTION_TYPES[assumption_type].table.lower(), set_id))
