@@ -21,7 +21,10 @@ def segmentation_config(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(SEGMENTATION_CONFIG, _CONFIG_SCHEMA)
 
 
-def version_flags(version: str) -> tuple[int, int, int]:
+def version_flags(version: str | tuple[int, int, int]) -> tuple[int, int, int]:
+    """The flags of a version; flags themselves are taken as they are."""
+    if isinstance(version, tuple):
+        return version
     for name, *flags in SEGMENTATION_CONFIG:
         if name == version:
             return tuple(flags)
@@ -48,7 +51,10 @@ def all_versions(sources: list[str], names: list[str] = SEGMENT) -> Column:
 
 
 def segment_columns(
-    version: str, state: str = "state", risk_class: str = "risk_class", vehicle_segment: str = "vehicle_segment"
+    version: str | tuple[int, int, int],
+    state: str = "state",
+    risk_class: str = "risk_class",
+    vehicle_segment: str = "vehicle_segment",
 ) -> list[Column]:
     """The three grouping columns of one version.
 
@@ -60,3 +66,34 @@ def segment_columns(
         segmentation_grouping(F.col(source), flag).alias(name)
         for source, flag, name in zip(sources, version_flags(version), SEGMENT)
     ]
+
+
+FINEST = (1, 1, 1)
+
+
+def by_versions(finest: DataFrame, config: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
+    """``sums`` of a finest-segment table by ``keys`` for every version of the ``config`` relation.
+
+    The config's rows become the GROUPING SETS of one aggregation: the table is read and
+    shuffled once for all versions, with rows combined on the map side. Versions of equal
+    flags share a set. The result has the version, the three grouping columns, the keys
+    and the sums.
+    """
+    versions = config.select(
+        "segmentation_version", *[F.col(f"use_{c}").cast("int").alias(c) for c in ("state", "risk_class", "vehicle_segment")]
+    ).collect()  # the rows of the configuration
+    sets = sorted({tuple(n for n, use in zip(SEGMENT, row[1:]) if use == 1) for row in versions})
+    # a column that a set leaves out has its bit set in the grouping id, the first column the highest
+    ids = [(row[0], sum((use != 1) << (2 - i) for i, use in enumerate(row[1:]))) for row in versions]
+    spark = finest.sparkSession
+    names = spark.createDataFrame(ids, "segmentation_version string, version_set bigint")
+    columns = [*SEGMENT, *keys]
+    grouped = finest.groupingSets([[F.col(c) for c in (*s, *keys)] for s in sets], *[F.col(c) for c in columns]).agg(
+        *[F.sum(c).alias(c) for c in sums],
+        F.shiftright(F.grouping_id(), len(keys)).cast("bigint").alias("version_set"),
+    )
+    pooled = [
+        segmentation_grouping(F.col(n), (F.col("version_set").bitwiseAND(1 << (2 - i)) == 0).cast("int")).alias(n)
+        for i, n in enumerate(SEGMENT)
+    ]
+    return grouped.join(names, "version_set").select("segmentation_version", *pooled, *keys, *sums)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewright.functions.dates import completed_age
+from ratewright.functions.intervals import explode_months
+from ratewright.functions.keys import surrogate_key
 
 _NUMBER = "decimal(38,0)"  # whole numbers; a fraction rounds half up
 
@@ -18,8 +22,28 @@ def _text(value: Column) -> tuple[Column, Column]:
     return F.lit(None).cast(_NUMBER), value.cast("string")
 
 
-def _unpivot(df: DataFrame, factors: dict[str, tuple[Column, Column]]) -> DataFrame:
-    """All factors of a row in one pass instead of one scan per factor."""
+# the columns that make a monthly exposure, and its id
+_EXPOSURE = ["policy_id", "risk_unit_id", "coverage_id", "calendar_month"]
+
+
+def _attributes_by_month(
+    periods: DataFrame,
+    rated: DataFrame,
+    factors: dict[str, tuple[Column, Column]],
+    calendar_start: date,
+    calendar_end: date,
+) -> DataFrame:
+    """Rated coverage periods listed month by month and factor by factor.
+
+    ``rated`` has the attributes of (policy, risk unit). They meet the coverage while it
+    is still one row and is hashed by coverage; months and then factors are listed after
+    the last exchange, so no exploded row is ever shuffled. Equal months of one coverage
+    become one, in place.
+    """
+    own = periods.select("policy_id", "risk_unit_id", "coverage_id", "coverage_effective_date", "actual_expiration_date")
+    covered = own.join(rated, ["policy_id", "risk_unit_id"]).repartition("coverage_id")
+    months = explode_months(covered, "coverage_effective_date", "actual_expiration_date", calendar_start, calendar_end)
+    attributes = [c for c in rated.columns if c not in _EXPOSURE]
     entries = F.array(
         *[
             F.struct(
@@ -28,22 +52,22 @@ def _unpivot(df: DataFrame, factors: dict[str, tuple[Column, Column]]) -> DataFr
             for name, (number, text) in factors.items()
         ]
     )
-    return df.select("exposure_id", F.inline(entries))
+    return months.select(*_EXPOSURE, *attributes).distinct().select(
+        surrogate_key("risk_unit_id", "coverage_id", "calendar_month").alias("exposure_id"), F.inline(entries)
+    )
 
 
 def auto_exposure_attributes(
-    exposure: DataFrame,
+    periods: DataFrame,
     policy: DataFrame,
     risk_unit: DataFrame,
     vehicle: DataFrame,
     assignment: DataFrame,
     driver: DataFrame,
+    calendar_start: date,
+    calendar_end: date,
 ) -> DataFrame:
-    """Driver and vehicle factors of personal auto exposures.
-
-    Everything but the exposure is joined at vehicle level first, so the monthly
-    rows are shuffled once.
-    """
+    """Driver and vehicle factors of the monthly exposures of personal auto coverage periods."""
     inception = F.col("policy_effective_date")
     holder = policy.where(F.col("line_of_business") == "personal_auto").select(
         "policy_id", F.col("effective_date").alias("policy_effective_date")
@@ -52,7 +76,9 @@ def auto_exposure_attributes(
         "risk_unit_id", F.col("source_risk_unit_id").alias("vehicle_id")
     )
     car = vehicle.select("vehicle_id", "garaging_state", "model_year", "vehicle_type", "annual_mileage", "usage")
-    primary = assignment.where(F.col("assignment_type") == "PRIMARY").select("policy_id", "vehicle_id", "driver_id")
+    primary = assignment.where(F.col("assignment_type") == "PRIMARY").select(
+        "policy_id", "vehicle_id", "driver_id", "assignment_id"
+    )
     person = driver.select("driver_id", "date_of_birth", "prior_accidents", "prior_violations", "credit_tier")
     rated = (
         primary.join(person, "driver_id")
@@ -61,6 +87,7 @@ def auto_exposure_attributes(
         .select(
             "policy_id",
             "risk_unit_id",
+            "assignment_id",  # two primary drivers of one vehicle stay two sets of factors
             "garaging_state",
             "vehicle_type",
             "annual_mileage",
@@ -72,11 +99,9 @@ def auto_exposure_attributes(
             _age(F.year(inception), F.col("model_year")).alias("vehicle_age"),
         )
     )
-    own = exposure.where(F.col("line_of_business") == "personal_auto").select(
-        "exposure_id", "policy_id", "risk_unit_id"
-    )
-    return _unpivot(
-        own.join(rated, ["policy_id", "risk_unit_id"]),
+    return _attributes_by_month(
+        periods.where(F.col("line_of_business") == "personal_auto"),
+        rated,
         {
             "RF_STATE": _text(F.col("garaging_state")),
             "RF_DRIVER_AGE": _number(F.col("driver_age")),
@@ -88,13 +113,20 @@ def auto_exposure_attributes(
             "RF_ANNUAL_MILEAGE": _number(F.col("annual_mileage")),
             "RF_USAGE": _text(F.col("usage")),
         },
+        calendar_start,
+        calendar_end,
     )
 
 
 def property_exposure_attributes(
-    exposure: DataFrame, policy: DataFrame, risk_unit: DataFrame, location: DataFrame
+    periods: DataFrame,
+    policy: DataFrame,
+    risk_unit: DataFrame,
+    location: DataFrame,
+    calendar_start: date,
+    calendar_end: date,
 ) -> DataFrame:
-    """Building factors of commercial property exposures."""
+    """Building factors of the monthly exposures of commercial property coverage periods."""
     holder = policy.where(F.col("line_of_business") == "commercial_property").select(
         "policy_id", F.col("effective_date").alias("policy_effective_date")
     )
@@ -110,13 +142,13 @@ def property_exposure_attributes(
         "protection_class",
         "total_insured_value",
     )
-    own = exposure.where(F.col("line_of_business") == "commercial_property").select(
-        "exposure_id", "policy_id", "risk_unit_id"
-    )
-    rated = own.join(unit.join(site, "location_id").drop("location_id"), "risk_unit_id").join(holder, "policy_id")
     building_age = _age(F.year("policy_effective_date"), F.col("year_built"))
-    return _unpivot(
-        rated,
+    lines = periods.where(F.col("line_of_business") == "commercial_property")
+    # the policy of a coverage counts, whichever policy its unit names
+    pairs = lines.select("policy_id", "risk_unit_id").distinct()
+    return _attributes_by_month(
+        lines,
+        pairs.join(unit.join(site, "location_id"), "risk_unit_id").join(holder, "policy_id"),
         {
             "RF_STATE": _text(F.col("state")),
             "RF_OCCUPANCY": _text(F.col("occupancy")),
@@ -125,6 +157,8 @@ def property_exposure_attributes(
             "RF_PROTECTION_CLASS": _number(F.col("protection_class")),
             "RF_TIV": _number(F.col("total_insured_value")),
         },
+        calendar_start,
+        calendar_end,
     )
 
 

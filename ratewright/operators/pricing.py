@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewright.functions.money import ratio
@@ -117,7 +117,22 @@ def current_rate(rate_history: DataFrame, version: str = "v3") -> DataFrame:
 def mart_indicated_rate_change_pure_premium(
     indicated: DataFrame, rate_history: DataFrame, version: str = "v3"
 ) -> DataFrame:
-    return indicated.join(current_rate(rate_history, version), SEGMENT).select(
+    """Indicated premium of each segment against the rate level now filed for it.
+
+    A segmentation that pools everything makes the segment a constant, and a join on
+    constants is a product of its sides. Both sides are stacked instead, and each
+    segment's one rate is handed to its premiums by a window over the segment.
+    """
+    rates = current_rate(rate_history, version)
+    stacked = indicated.select(*SEGMENT, "indicated_premium", F.lit(None).cast("double").alias("rate"), F.lit(0).alias("filed"))
+    stacked = stacked.unionByName(
+        rates.select(*SEGMENT, F.lit(None).cast("double").alias("indicated_premium"), F.col("cumulative_factor").alias("rate"), F.lit(1).alias("filed"))
+    )
+    own = Window.partitionBy(*SEGMENT)
+    matched = stacked.dropna(subset=SEGMENT).withColumns(
+        {"cumulative_factor": F.max("rate").over(own), "has_rate": F.max("filed").over(own) == 1}
+    ).where("filed = 0 AND has_rate")
+    return matched.select(
         *SEGMENT,
         "indicated_premium",
         "cumulative_factor",

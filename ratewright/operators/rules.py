@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ratewright.functions import dates as D
 from ratewright.functions.money import MONEY, div_floor, from_cents, to_cents
+from ratewright.session import materialize
 
 DAYS_PER_YEAR = 365.25
 
@@ -222,25 +223,33 @@ def cancellation_refund(premium_transaction: DataFrame, coverage: DataFrame, pol
 def running_premium_balance(premium_transaction: DataFrame) -> DataFrame:
     """Balance of each coverage after each movement; shown as zero when negative.
 
-    Movements of one day run in order of transaction id. The balance carried
-    into a day comes from daily totals, so no window has to hold all movements
-    of one coverage: the long window sees one row per day, the other one day.
+    Movements of one day run in order of transaction id. The sum runs on two levels.
+    All movements are dealt in that order into slices of about equal size, so a coverage
+    or a day with very many of them lies in several. Slice totals give the balance
+    carried into each slice of a coverage's day: that window sees one row for a day and
+    slice. The other window sees one slice. The slices are written once, because both
+    levels must read the same ones.
     """
     change = to_cents(F.col("premium_change"))
-    day = ["coverage_id", "transaction_date"]
-    before_today = (
-        Window.partitionBy("coverage_id").orderBy("transaction_date").rowsBetween(Window.unboundedPreceding, -1)
+    part = ["coverage_id", "transaction_date", "slice"]
+    ordered = ["coverage_id", "transaction_date", "transaction_id"]
+    dealt = premium_transaction.select(*ordered, "premium_change").repartitionByRange(*ordered)
+    sliced = materialize(dealt.withColumn("slice", F.spark_partition_id()), "premium_slices")
+    earlier = (
+        Window.partitionBy("coverage_id")
+        .orderBy("transaction_date", "slice")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
     opening = (
-        premium_transaction.groupBy(*day)
+        sliced.groupBy(*part)
         .agg(F.sum(change).alias("moved"))
-        .select(*day, F.coalesce(F.sum("moved").over(before_today), F.lit(0)).alias("opening_cents"))
+        .select(*part, F.coalesce(F.sum("moved").over(earlier), F.lit(0)).alias("opening_cents"))
     )
-    in_day = Window.partitionBy(*day).orderBy("transaction_id").rowsBetween(Window.unboundedPreceding, 0)
-    balance = F.col("opening_cents") + F.col("today_cents")
+    in_slice = Window.partitionBy(*part).orderBy("transaction_id").rowsBetween(Window.unboundedPreceding, 0)
+    balance = F.col("opening_cents") + F.col("slice_cents")
     return (
-        premium_transaction.withColumn("today_cents", F.sum(change).over(in_day))
-        .join(opening, day)
+        sliced.withColumn("slice_cents", F.sum(change).over(in_slice))
+        .join(opening, part)
         .select(
             "transaction_id",
             "coverage_id",
