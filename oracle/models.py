@@ -47,7 +47,9 @@ def triangle(keys: str, source: str) -> str:
 def pricing_triangle(version: str) -> str:
     return f"""
         SELECT {seg(version)}, year(accident_date)::INTEGER AS accident_year,
-               (year(valuation_date) - year(accident_date))::INTEGER AS development, valuation_date,
+               (year(valuation_date) - year(accident_date))::INTEGER AS development,
+               (date_diff('month', date_trunc('year', accident_date), valuation_date) + 1)::INTEGER AS age_months,
+               valuation_date,
                sum(cumulative_paid) AS cumulative_paid, sum(incurred) AS cumulative_incurred,
                count(DISTINCT claim_id) AS cumulative_claim_count
         FROM x_year_end_snapshot s LEFT JOIN x_priced p ON p.policy_id = s.policy_id GROUP BY ALL"""
@@ -72,12 +74,25 @@ def cdf(measure: str, suffix: str) -> str:
         GROUP BY ALL"""
 
 
+def by_month(measure: str) -> str:
+    """The developed share at an age between two year ends lies on the straight line between theirs; at birth it is 0."""
+    return f"""
+        WITH shares AS (
+            SELECT {SEG}, (development + 1) * 12 AS age, 1 / cdf AS share, cdf FROM x_cdf_{measure}
+            UNION ALL SELECT DISTINCT {SEG}, 0, 0.0::DOUBLE, NULL::DOUBLE FROM x_cdf_{measure})
+        SELECT {SEG}, (a.age + m)::INTEGER AS age_months,
+               CASE WHEN m = 12 THEN b.cdf ELSE 1 / (a.share * (12 - m) / 12 + b.share * m / 12) END AS cdf
+        FROM shares a JOIN shares b USING ({SEG}), range(1, 13) AS r(m) WHERE b.age = a.age + 12"""
+
+
 def ultimate(measure: str, column: str, value: str) -> str:
     return f"""
         SELECT {SEG}, t.accident_year, t.{column}::DOUBLE * c.cdf AS {value}
-        FROM (SELECT * FROM x_triangle
-              QUALIFY row_number() OVER (PARTITION BY {SEG}, accident_year ORDER BY development DESC) = 1) t
-        JOIN x_cdf_{measure} c USING ({SEG}, development)"""
+        FROM x_triangle t JOIN x_month_{measure} c USING ({SEG}, age_months)
+        WHERE NOT EXISTS (SELECT 1 FROM x_triangle later WHERE later.accident_year = t.accident_year
+                          AND (later.state_grp, later.risk_class_grp, later.vehicle_segment_grp)
+                              = (t.state_grp, t.risk_class_grp, t.vehicle_segment_grp)
+                          AND later.valuation_date > t.valuation_date)"""
 
 
 STG_SEG = "state AS state_grp, risk_class AS risk_class_grp, vehicle_segment AS vehicle_segment_grp"
@@ -219,6 +234,12 @@ MODELS = {
     "x_pooled": triangle("development_pool_id, pool_level, line_of_business", "x_pooled_development"),
     "x_triangle": pricing_triangle("v3"),
     "x_triangle_v1": pricing_triangle("v1"),
+    "x_triangle_versions": " UNION ALL ".join(
+        f"SELECT '{v}' AS segmentation_version, * FROM ({pricing_triangle(v)})" for v in ("v1", "v2", "v3")
+    ),
+    "x_state_period": """
+        SELECT claim_id, event_date AS valid_from_date, coalesce(next_date, DATE '9999-12-31') AS valid_to_date
+        FROM x_state""",
     "x_stg_ldf": f"""
         SELECT segmentation_version, triangle_type, {STG_SEG}, development, ldf, method, description
         FROM x_ldf_selection_table WHERE segmentation_version = 'v3'""",
@@ -237,12 +258,14 @@ MODELS = {
         FROM x_ultimate_selection WHERE type = '{k}' AND segmentation_version = 'v3'"""
         for k in ("loss", "claim_count")
     },
+    # cells valued when an accident year is 12, 24, ... months old; ratios compare whole years only
+    "x_year_ends": "SELECT * FROM x_triangle WHERE age_months IN (SELECT unnest(range(12, 1200, 12)))",
     "x_ldf_raw": f"""
         SELECT {SEG}, accident_year, development,
                lead(cumulative_paid) OVER w::DOUBLE / nullif(cumulative_paid, 0)::DOUBLE AS link_ratio_paid,
                lead(cumulative_incurred) OVER w::DOUBLE / nullif(cumulative_incurred, 0)::DOUBLE AS link_ratio_incurred,
                lead(cumulative_claim_count) OVER w::DOUBLE / nullif(cumulative_claim_count, 0)::DOUBLE AS link_ratio_cnt
-        FROM x_triangle WINDOW w AS (PARTITION BY {SEG}, accident_year ORDER BY development)""",
+        FROM x_year_ends WINDOW w AS (PARTITION BY {SEG}, accident_year ORDER BY development)""",
     "x_ldf_avg": f"""
         SELECT {SEG}, development, coalesce(avg(link_ratio_paid), 1) AS avg_ldf_paid,
                coalesce(avg(link_ratio_incurred), 1) AS avg_ldf_incurred, coalesce(avg(link_ratio_cnt), 1) AS avg_ldf_cnt
@@ -251,7 +274,7 @@ MODELS = {
         SELECT {SEG}, a.accident_year, a.development, a.cumulative_paid AS p0, b.cumulative_paid AS p1,
                a.cumulative_incurred AS i0, b.cumulative_incurred AS i1, a.cumulative_claim_count AS n0,
                b.cumulative_claim_count AS n1
-        FROM x_triangle a JOIN x_triangle b USING ({SEG}, accident_year) WHERE b.development = a.development + 1""",
+        FROM x_year_ends a JOIN x_year_ends b USING ({SEG}, accident_year) WHERE b.age_months = a.age_months + 12""",
     "x_ldf_weighted": f"""
         SELECT {SEG}, development, coalesce(sum(p1)::DOUBLE / nullif(sum(p0), 0)::DOUBLE, 1) AS weighted_ldf_paid,
                coalesce(sum(i1)::DOUBLE / nullif(sum(i0), 0)::DOUBLE, 1) AS weighted_ldf_incurred,
@@ -262,7 +285,7 @@ MODELS = {
                CASE WHEN k = 3 THEN coalesce(lp, 1) ELSE 1 END AS last3_ldf_paid,
                CASE WHEN k = 3 THEN coalesce(li, 1) ELSE 1 END AS last3_ldf_incurred,
                CASE WHEN k = 3 THEN coalesce(ln, 1) ELSE 1 END AS last3_ldf_cnt
-        FROM (SELECT DISTINCT {SEG}, development FROM x_triangle) d
+        FROM (SELECT DISTINCT {SEG}, development FROM x_year_ends) d
         LEFT JOIN (SELECT {SEG}, development, count(*) AS k, sum(p1)::DOUBLE / nullif(sum(p0), 0)::DOUBLE AS lp,
                           sum(i1)::DOUBLE / nullif(sum(i0), 0)::DOUBLE AS li,
                           sum(n1)::DOUBLE / nullif(sum(n0), 0)::DOUBLE AS ln
@@ -271,6 +294,7 @@ MODELS = {
           USING ({SEG}, development)""",
     **{f"x_selected_{m}": selected(m, s) for m, _, s in MEASURES},
     **{f"x_cdf_{m}": cdf(m, s) for m, _, s in MEASURES},
+    **{f"x_month_{m}": by_month(m) for m, _, _ in MEASURES},
     **{
         f"x_ultimate_{m}": ultimate(m, c, "ultimate_claim_count" if m == "claim_count" else "ultimate_loss")
         for m, c, _ in MEASURES
@@ -398,5 +422,5 @@ MODELS = {
         LEFT JOIN (SELECT {SEG}, annual_trend FROM x_stg_trend WHERE trend_type = 'severity') ts USING ({SEG})""",
     "x_latest": f"""
         SELECT * FROM x_triangle
-        QUALIFY row_number() OVER (PARTITION BY {SEG}, accident_year ORDER BY development DESC) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY {SEG}, accident_year ORDER BY age_months DESC) = 1""",
 }

@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+import re
+
 from oracle.compose import compose
 from oracle.models import MEASURES, MODELS, SEG, STG_SEG
 from oracle.tables import AS_OF, TABLES
+from ratewright.operators import contracts
 from ratewright.operators.quality import CONTRACT, UNIQUE_COMBINATIONS
 from ratewright.operators.triangle import STEP_MONTHS
+from ratewright.plans.perturb import CONTESTED, FAULTS, PERTURBED
 from ratewright.plans.present import digits
 
 PARTS = {**TABLES, **MODELS}
+for _t, (_replaced, _twice) in PERTURBED.items():
+    _own = "x_state_period" if _t == "claim_financial_state_period" else f"x_{_t}"
+    _swaps = ", ".join(f"{e} AS {c}" for c, e in _replaced.items())
+    PARTS[f"x_bent_{_t}"] = f"SELECT * REPLACE ({_swaps}) FROM {_own}"
+    PARTS[f"x_broken_{_t}"] = f"SELECT * FROM x_bent_{_t}" + (
+        f" UNION ALL SELECT * FROM x_bent_{_t} WHERE {_twice}" if _twice else ""
+    )
 CELLS = (
     "cumulative_paid_loss cumulative_case_reserve cumulative_paid_expense cumulative_case_expense "
     "cumulative_recovery cumulative_incurred_loss"
@@ -40,8 +51,12 @@ LOSS_TRIANGLE_DATES = "accident_period valuation_date"
 ORACLE: dict[str, str] = {}
 
 
+_GIVEN: dict[str, tuple[str, str, str, str]] = {}
+
+
 def add(name: str, sql: str, dates: str = "", numbers: str = "", times: str = "") -> None:
     ORACLE[name] = q(sql, dates, numbers, times)
+    _GIVEN[name] = (sql, dates, numbers, times)
 
 
 # ---- sources and sinks
@@ -219,37 +234,34 @@ for _grain in STEP_MONTHS:
         LOSS_TRIANGLE_DATES, CELLS)
 add("loss_triangle_pooled", "SELECT * FROM x_pooled", LOSS_TRIANGLE_DATES, CELLS)
 add("ldf_observations", """
-    WITH cells AS MATERIALIZED (SELECT * FROM x_loss_triangle)
-    SELECT a.triangle_grain, a.product_id, a.line_of_business, a.coverage_code, a.accident_period,
-           a.development_age_months AS development_age_from, b.development_age_months AS development_age_to,
-           a.cumulative_paid_loss AS paid_loss_from, b.cumulative_paid_loss AS paid_loss_to,
-           CASE WHEN a.cumulative_paid_loss > 0
-                THEN b.cumulative_paid_loss::DOUBLE / a.cumulative_paid_loss::DOUBLE END AS paid_link_ratio,
-           a.cumulative_paid_loss + a.cumulative_paid_expense AS paid_and_expense_loss_from,
-           b.cumulative_paid_loss + b.cumulative_paid_expense AS paid_and_expense_loss_to,
-           CASE WHEN a.cumulative_paid_loss + a.cumulative_paid_expense > 0
-                THEN (b.cumulative_paid_loss + b.cumulative_paid_expense)::DOUBLE
-                     / (a.cumulative_paid_loss + a.cumulative_paid_expense)::DOUBLE END AS paid_and_expense_link_ratio,
-           a.cumulative_incurred_loss AS incurred_loss_from, b.cumulative_incurred_loss AS incurred_loss_to,
-           CASE WHEN a.cumulative_incurred_loss > 0
-                THEN b.cumulative_incurred_loss::DOUBLE / a.cumulative_incurred_loss::DOUBLE END AS incurred_link_ratio,
-           a.cumulative_reported_claim_count AS reported_claim_count_from,
-           b.cumulative_reported_claim_count AS reported_claim_count_to,
-           CASE WHEN a.cumulative_reported_claim_count > 0
-                THEN b.cumulative_reported_claim_count / a.cumulative_reported_claim_count::DOUBLE END
-               AS reported_count_link_ratio
-    FROM cells a JOIN cells b
-      ON a.triangle_grain = b.triangle_grain AND a.product_id = b.product_id
-     AND a.line_of_business = b.line_of_business AND a.coverage_code = b.coverage_code
-     AND a.accident_period = b.accident_period
-     AND b.development_age_months = a.development_age_months
-         + CASE a.triangle_grain WHEN 'monthly' THEN 1 WHEN 'quarterly' THEN 3 WHEN 'half_year' THEN 6 ELSE 12 END""",
+    SELECT triangle_grain, product_id, line_of_business, coverage_code, accident_period,
+           development_age_months AS development_age_from, age_to AS development_age_to,
+           paid AS paid_loss_from, paid_to AS paid_loss_to,
+           CASE WHEN paid > 0 THEN paid_to::DOUBLE / paid::DOUBLE END AS paid_link_ratio,
+           spent AS paid_and_expense_loss_from, spent_to AS paid_and_expense_loss_to,
+           CASE WHEN spent > 0 THEN spent_to::DOUBLE / spent::DOUBLE END AS paid_and_expense_link_ratio,
+           incurred AS incurred_loss_from, incurred_to AS incurred_loss_to,
+           CASE WHEN incurred > 0 THEN incurred_to::DOUBLE / incurred::DOUBLE END AS incurred_link_ratio,
+           reported AS reported_claim_count_from, reported_to AS reported_claim_count_to,
+           CASE WHEN reported > 0 THEN reported_to / reported::DOUBLE END AS reported_count_link_ratio
+    FROM (
+        SELECT *, lead(development_age_months) OVER w AS age_to, lead(paid) OVER w AS paid_to,
+               lead(spent) OVER w AS spent_to, lead(incurred) OVER w AS incurred_to, lead(reported) OVER w AS reported_to
+        FROM (SELECT triangle_grain, product_id, line_of_business, coverage_code, accident_period, development_age_months,
+                     cumulative_paid_loss AS paid, cumulative_paid_loss + cumulative_paid_expense AS spent,
+                     cumulative_incurred_loss AS incurred, cumulative_reported_claim_count AS reported
+              FROM x_loss_triangle)
+        WINDOW w AS (PARTITION BY triangle_grain, product_id, line_of_business, coverage_code, accident_period
+                     ORDER BY development_age_months))
+    WHERE age_to = development_age_months
+        + CASE triangle_grain WHEN 'monthly' THEN 1 WHEN 'quarterly' THEN 3 WHEN 'half_year' THEN 6 ELSE 12 END""",
     "accident_period",
     "paid_loss_from paid_loss_to paid_link_ratio paid_and_expense_loss_from paid_and_expense_loss_to "
     "paid_and_expense_link_ratio incurred_loss_from incurred_loss_to incurred_link_ratio reported_count_link_ratio")
 for _name in ("claim_triangle_cumulative", "claim_triangle_from_snapshot"):
     add(_name, *TRIANGLE)
 add("claim_triangle_cumulative_v1", "SELECT * FROM x_triangle_v1", *TRIANGLE[1:])
+add("claim_triangle_versions", "SELECT * FROM x_triangle_versions", *TRIANGLE[1:])
 add("claim_triangle_incremental", f"""
     SELECT {SEG}, accident_year, development, cumulative_paid - lag(cumulative_paid) OVER w AS incremental_paid,
            cumulative_incurred - lag(cumulative_incurred) OVER w AS incremental_incurred,
@@ -266,6 +278,7 @@ for _m, _s in LDF.items():
     _value = "ultimate_claim_count" if _m == "claim_count" else "ultimate_loss"
     add(f"ldf_selected_{_m}", f"SELECT * FROM x_selected_{_m}", numbers=f"selected_ldf_{_s}")
     add(f"cdf_{_m}", f"SELECT * FROM x_cdf_{_m}", numbers="cdf")
+    add(f"cdf_by_month_{_m}", f"SELECT * FROM x_month_{_m}", numbers="cdf")
     add(f"ultimate_{_m}_chain_ladder", f"SELECT * FROM x_ultimate_{_m}", numbers=_value)
 add("fct_ultimate_loss", "SELECT * FROM x_fct_ultimate_loss", numbers="ultimate_loss")
 add("fct_ultimate_claim_count", "SELECT * FROM x_fct_ultimate_count", numbers="ultimate_claim_count")
@@ -456,6 +469,21 @@ add("register_version", """
            arg_max(assumption_set_id, version_sequence), NULL, NULL, NULL
     FROM x_assumption_version WHERE assumption_type = 'trend_selection'""")
 
+_UPLOAD = """'uploaded' AS status, 'actuary' AS uploaded_by, {note} AS upload_comment, 'review' AS dag_id"""
+add("upload_assumption", f"""
+    WITH a AS (SELECT {_selection_key('n')} AS row_key, {_selection_json('n')} AS new_value FROM x_previous_ldf n),
+    c AS ({_CHANGES})
+    SELECT 1::BIGINT AS version_sequence, 'auto_v1' AS version_label, NULL::BIGINT AS previous_sequence,
+           'auto_v1' AS metadata_label, {_UPLOAD.format(note="'first'")},
+           (SELECT count(*) FROM a) AS source_row_count, (SELECT count(*) FROM a) AS change_count, row_key,
+           'added' AS change_type, '__row__' AS column_name, NULL::VARCHAR AS old_value, new_value FROM a
+    UNION ALL
+    SELECT 2, 'auto_v2', 1, 'auto_v2', {_UPLOAD.format(note="'second'")}, (SELECT count(*) FROM x_ldf_selection_table),
+           (SELECT count(*) FROM c), row_key, change_type, column_name, old_value, new_value FROM c""")
+add("load_batch_rerun", """
+    SELECT if(transaction_id % 2 = 0, 'batch 1', 'batch/2') AS load_batch_id, transaction_type, count(*) AS row_count,
+           sum(premium_change) AS premium_change FROM x_raw_premium_transaction GROUP BY ALL""", numbers="premium_change")
+
 # ---- rules
 add("coverage_term_factor", """SELECT coverage_id, (expiration_date - effective_date) / 365.25::DOUBLE AS term_factor
     FROM x_raw_policy_coverage""", numbers="term_factor")
@@ -545,10 +573,19 @@ add("develop_ultimates", f"""
            dp / 100.0 AS paid_loss_change, dr / 100.0 AS case_reserve_change, pe / 100.0 AS paid_expense_change,
            de / 100.0 AS case_expense_change, rc / 100.0 AS recovery_change, (dp + dr + pe + de - rc) / 100.0
                AS incurred_loss_change FROM n""", "transaction_date", CHANGES)
-add("primary_driver", """
-    SELECT vehicle_id, coalesce(max_by(driver_id, assignment_id) FILTER (assignment_type = 'PRIMARY'),
-                                min_by(driver_id, assignment_id)) AS driver_id
-    FROM x_raw_driver_vehicle_assignment GROUP BY vehicle_id""")
+def _first_driver(source: str) -> str:
+    return f"""SELECT vehicle_id, coalesce(max_by(driver_id, assignment_id) FILTER (assignment_type = 'PRIMARY'),
+                                min_by(driver_id, assignment_id)) AS driver_id FROM {source} GROUP BY vehicle_id"""
+
+
+add("primary_driver", _first_driver("x_raw_driver_vehicle_assignment"))
+add("primary_driver_contested", _first_driver(f"""(
+    SELECT vehicle_id, driver_id, assignment_id, {CONTESTED['own']} AS assignment_type
+    FROM x_raw_driver_vehicle_assignment
+    UNION ALL SELECT vehicle_id, driver_id + 1, assignment_id + 1000000000, {CONTESTED['later']}
+    FROM x_raw_driver_vehicle_assignment
+    UNION ALL SELECT vehicle_id, driver_id + 2, assignment_id - 1000000000, {CONTESTED['earlier']}
+    FROM x_raw_driver_vehicle_assignment)"""))
 
 
 # ---- quality
@@ -579,6 +616,81 @@ add("expression_report", _rows([
 add("unique_combination_report", _rows([
     (t, "+".join(c), f"SELECT count(*) FROM (SELECT 1 FROM x_{t} GROUP BY {', '.join(c)} HAVING count(*) > 1)")
     for t, c in UNIQUE_COMBINATIONS.items()]))
+
+def _contract(contract: dict, names: dict[str, str]) -> str:
+    """Every rule of a contract by a query of its own: plain filters, grouped keys and missing parents."""
+    rows = []
+    for t, k in contract.items():
+        table = names[t]
+        for c in k.required:
+            rows.append((t, "not_null", c, f"SELECT count(*) FROM {table} WHERE {c} IS NULL"))
+        for c, v in k.accepted.items():
+            rows.append((t, "accepted_values", c, f"SELECT count(*) FROM {table} WHERE {c} NOT IN ({_values(v)})"))
+        for name, e in k.expressions.items():
+            rows.append((t, "expression", name, f"SELECT count(*) FROM {table} WHERE NOT ({e})"))
+        for c, (low, high, inclusive) in k.ranges.items():
+            sides = [f"{c} {'<' if inclusive else '<='} {low}"] if low is not None else []
+            sides += [f"{c} {'>' if inclusive else '>='} {high}"] if high is not None else []
+            rows.append((t, "accepted_range", c, f"SELECT count(*) FROM {table} WHERE {' OR '.join(sides)}"))
+        for c in filter(None, [k.key, *k.unique_keys]):
+            rows.append((t, "unique", c, f"""SELECT count(*) FROM (SELECT {c} FROM {table} WHERE {c} IS NOT NULL
+                GROUP BY {c} HAVING count(*) > 1)"""))
+        for cs in k.combinations:
+            rows.append((t, "unique_combination", "+".join(cs), f"""SELECT count(*) FROM (SELECT 1 FROM {table}
+                GROUP BY {', '.join(cs)} HAVING count(*) > 1)"""))
+        for c, (parent, key) in k.references.items():
+            rows.append((t, "relationships", c, f"""SELECT count(DISTINCT {c}) FROM {table}
+                WHERE {c} NOT IN (SELECT {key} FROM {names[parent]} WHERE {key} IS NOT NULL)"""))
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{check}' AS check_name, '{rule}' AS rule, ({count}) AS failing_rows"
+        for t, check, rule, count in rows
+    )
+
+
+_CHANGE_ROWS = "x_change_rows"
+PARTS[_CHANGE_ROWS] = _CHANGES
+PARTS["x_metadata_rows"] = "SELECT 'meta-' || assumption_set_id AS pipeline_run_metadata_id, * FROM x_assumption_version"
+_PLAIN = {t: f"x_{t}" for t in [*contracts.RAW_CONTRACT, *contracts.ASSUMPTION_CONTRACT, *contracts.SEED_CONTRACT]}
+add("contract_report_raw", _contract(contracts.RAW_CONTRACT, _PLAIN))
+add("contract_report_assumptions", _contract(contracts.ASSUMPTION_CONTRACT, _PLAIN))
+add("contract_report_seeds", _contract(contracts.SEED_CONTRACT, _PLAIN))
+add("contract_report_governance", _contract(contracts.GOVERNANCE_CONTRACT, {
+    "assumption_version": "x_assumption_version", "assumption_change_log": _CHANGE_ROWS,
+    "pipeline_run_metadata": "x_metadata_rows"}))
+PARTS["x_core_exposure"] = "SELECT * FROM x_fct_exposure"
+add("contract_report_core", _contract(contracts.CORE_CONTRACT, {
+    "dim_policy": "x_raw_policy", "dim_risk_unit": "x_raw_policy_risk_unit", "dim_coverage": "x_raw_policy_coverage",
+    "fct_premium_transaction": "x_raw_premium_transaction", "fct_claim": "x_raw_claim",
+    "fct_claim_transaction": "x_raw_claim_transaction", "fct_exposure": "x_core_exposure"}))
+add("contract_report_exposure", _contract(contracts.EXPOSURE_CONTRACT, {
+    "coverage_active_period": "x_active", "coverage_month": "x_coverage_month",
+    "earned_exposure_month": "x_earned_exposure", "premium_earning_segments": "x_earning_segments",
+    "earned_premium_month": "x_earned_premium"}))
+add("contract_report_claims",
+    _contract(contracts.CLAIM_CONTRACT, {"claim_financial_state_period": "x_state_period"}))
+add("contract_report_raw_perturbed", _contract(
+    contracts.RAW_CONTRACT, {t: f"x_broken_{t}" for t in contracts.RAW_CONTRACT}))
+_LOADED = {"raw_premium_transaction": contracts.RAW_CONTRACT["raw_premium_transaction"]}
+add("observed_load_report", f"""
+    WITH lies AS (SELECT count(*) AS rows_in_table FROM x_broken_raw_premium_transaction)
+    SELECT check_name, rule, failing_rows, rows_in_table FROM lies, (
+        SELECT 'rows' AS check_name, 'written' AS rule, (SELECT rows_in_table FROM lies) AS failing_rows
+        UNION ALL SELECT check_name, rule, failing_rows
+        FROM ({_contract(_LOADED, {t: f"x_broken_{t}" for t in contracts.RAW_CONTRACT})})
+        WHERE check_name IN ('not_null', 'accepted_values', 'expression', 'accepted_range'))""")
+for _name, _source in (("state_period_faults", "x_state_period"),
+                       ("state_period_faults_perturbed", "x_broken_claim_financial_state_period")):
+    add(_name, f"""
+    WITH d AS (SELECT claim_id, valid_from_date, valid_to_date, count(*) AS row_count FROM {_source} GROUP BY ALL)
+    SELECT * FROM (
+        SELECT *, CASE WHEN valid_to_date <= valid_from_date THEN 'empty' WHEN row_count > 1 THEN 'repeated'
+                       WHEN valid_from_date < covered_to_date THEN 'overlap'
+                       WHEN valid_from_date > covered_to_date THEN 'gap' END AS fault
+        FROM (SELECT d.claim_id, d.valid_from_date, d.valid_to_date, d.row_count,
+                     max(e.valid_to_date) AS covered_to_date
+              FROM d LEFT JOIN d e ON e.claim_id = d.claim_id
+               AND (e.valid_from_date, e.valid_to_date) < (d.valid_from_date, d.valid_to_date) GROUP BY ALL))
+    WHERE fault IS NOT NULL""", "valid_from_date valid_to_date covered_to_date")
 add("accepted_range_report", _rows([
     ("coverage_month", rule, f"SELECT count(*) FROM x_coverage_month WHERE {bad}") for rule, bad in (
         ("days_1_to_31", "active_days NOT BETWEEN 1 AND 31"), ("full_months", "active_days NOT BETWEEN 28 AND 31"),
@@ -662,7 +774,9 @@ add("claim_snapshot_reconciles", f"""
        OR coalesce(e.n, 0) <> coalesce(a.n, 0)""", "valuation_date",
     "expected_cumulative_paid expected_incurred actual_cumulative_paid actual_incurred")
 _WRITTEN = "(SELECT sum(written_premium)::DOUBLE AS wp, sum(term_months) / 12.0 AS we FROM x_priced)"
-_EARN = """(SELECT sum(total_earned_premium) AS ep, sum(total_earned_exposure) AS ee FROM x_policy_exposure_v3)"""
+# whole millionths, so that the sums do not depend on the order of the rows
+_EARN = """(SELECT sum((total_earned_premium * 1000000)::BIGINT)::BIGINT / 1000000.0::DOUBLE AS ep,
+    sum((total_earned_exposure * 1000000)::BIGINT)::BIGINT / 1000000.0::DOUBLE AS ee FROM x_policy_exposure_v3)"""
 add("policy_exposure_within_policy_totals", f"""
     SELECT wp AS expected_written_premium, ep AS actual_earned_premium, we AS expected_exposure,
            ee AS actual_earned_exposure FROM {_WRITTEN} w, {_EARN} e WHERE wp < ep OR we < ee""",
@@ -680,16 +794,18 @@ add("policy_exposure_not_negative", """SELECT * FROM x_policy_exposure_v3
     WHERE total_earned_exposure < 0 OR total_earned_premium < 0""",
     numbers="total_earned_exposure total_earned_premium")
 add("triangle_reconciles_to_snapshot", f"""
-    SELECT {SEG}, accident_year, development, valuation_date, e.cumulative_paid AS expected_cumulative_paid,
+    SELECT {SEG}, accident_year, development, age_months, valuation_date,
+           e.cumulative_paid AS expected_cumulative_paid,
            e.cumulative_incurred AS expected_cumulative_incurred, e.cumulative_claim_count AS expected_claim_count,
            a.cumulative_paid AS actual_cumulative_paid, a.cumulative_incurred AS actual_cumulative_incurred,
            a.cumulative_claim_count AS actual_claim_count
     FROM (SELECT 'ALL' AS state_grp, 'ALL' AS risk_class_grp, 'ALL' AS vehicle_segment_grp,
-                 year(loss_date) AS accident_year, year(valuation_date) - year(loss_date) AS development, valuation_date,
+                 year(loss_date) AS accident_year, year(valuation_date) - year(loss_date) AS development,
+                 (year(valuation_date) - year(loss_date)) * 12 + month(valuation_date) AS age_months, valuation_date,
                  sum(cumulative_paid_loss) AS cumulative_paid, sum(cumulative_incurred_loss) AS cumulative_incurred,
                  count(*) AS cumulative_claim_count
-          FROM x_snapshot WHERE is_year_end GROUP BY ALL) e
-    FULL JOIN x_triangle a USING ({SEG}, accident_year, development, valuation_date)
+          FROM x_snapshot WHERE is_year_end OR valuation_date = {AS_OF} GROUP BY ALL) e
+    FULL JOIN x_triangle a USING ({SEG}, accident_year, development, age_months, valuation_date)
     WHERE e.cumulative_paid IS DISTINCT FROM a.cumulative_paid
        OR e.cumulative_incurred IS DISTINCT FROM a.cumulative_incurred
        OR e.cumulative_claim_count IS DISTINCT FROM a.cumulative_claim_count""", "valuation_date",
@@ -732,7 +848,7 @@ for _m, _s in LDF.items():
         AS prev_cdf FROM x_cdf_{_m}) WHERE cdf > prev_cdf""", numbers="cdf prev_cdf")
     add(f"ultimate_equals_latest_{_m}", f"""
         SELECT {SEG}, u.accident_year, u.{_value}, l.{_column}, c.cdf FROM x_ultimate_{_m} u
-        JOIN x_latest l USING ({SEG}, accident_year) LEFT JOIN x_cdf_{_m} c USING ({SEG}, development)
+        JOIN x_latest l USING ({SEG}, accident_year) LEFT JOIN x_month_{_m} c USING ({SEG}, age_months)
         WHERE coalesce(c.cdf, 1) = 1 AND abs(u.{_value} - l.{_column}) > 0.000001""",
         numbers=f"{_value} cdf" + ("" if _m == "claim_count" else f" {_column}"))
     add(f"ultimate_below_latest_{_m}", f"""
@@ -783,6 +899,25 @@ def _report() -> str:
 ORACLE["quality_report"] = _report()
 
 # the same statements at a valuation that is no year end
-MID_YEAR = ["claim_triangle_cumulative", "claim_triangle_from_snapshot", "mart_control_totals_financial_summary"]
+MID_YEAR = (
+    "valuation_dates claim_triangle_cumulative claim_triangle_from_snapshot claim_triangle_incremental "
+    "ldf_raw ldf_avg ldf_weighted ldf_last3_weighted ldf_selected_paid ldf_selected_incurred ldf_selected_claim_count "
+    "cdf_paid cdf_incurred cdf_claim_count cdf_by_month_paid cdf_by_month_incurred cdf_by_month_claim_count "
+    "ultimate_paid_chain_ladder ultimate_incurred_chain_ladder ultimate_claim_count_chain_ladder "
+    "fct_ultimate_loss fct_ultimate_claim_count fct_selected_ultimate_loss fct_selected_ultimate_claim_count "
+    "fct_frequency_severity fct_pure_premium fct_indicated_premium mart_indicated_rate_change_pure_premium "
+    "mart_control_totals_financial_summary mart_control_tolerance_by_metric mart_reconciliation_by_segment "
+    "triangle_reconciles_to_snapshot triangle_paid_not_decreasing ultimate_below_latest_paid"
+).split()
 for _name in MID_YEAR:
     ORACLE[f"{_name}_mid_year"] = ORACLE[_name].replace(AS_OF, "DATE '2001-06-30'")
+for _name, _fault in FAULTS.items():
+    _bent = f"x_faulty_{_name}"
+    PARTS[_bent] = _fault.broken_sql()
+    _sql, *_formats = _GIVEN[_name]
+    ORACLE[f"{_name}_faulty"] = q(re.sub(rf"\b{_fault.part}\b", _bent, _sql), *_formats)
+# tables at rest carry text identifiers, as the contract declares them
+for _name in "claim_triangle_cumulative mart_indicated_rate_change_pure_premium policy_exposure".split():
+    ORACLE[f"{_name}_at_rest"] = ORACLE[_name]
+ORACLE["earned_premium_month_at_rest"] = f"""SELECT * REPLACE (policy_id::VARCHAR AS policy_id, coverage_id::VARCHAR
+    AS coverage_id) FROM ({ORACLE["earned_premium_month"]})"""

@@ -13,18 +13,32 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewright.functions.keys import surrogate_key
+from ratewright.functions.segments import FINEST, segmentation_config
 from ratewright.operators import calendar, claims, controls, core, exposure, features, ldf, pricing, triangle, ultimate
 from ratewright.params import Params
 from ratewright.session import materialize
-from ratewright.sources import schemas, staging, tables
+from ratewright.sources import rest, schemas, staging, tables
 
 
 class Book:
-    def __init__(self, spark: SparkSession, source: Callable[[str], DataFrame], params: Params) -> None:
+    def __init__(
+        self,
+        spark: SparkSession,
+        source: Callable[[str], DataFrame],
+        params: Params,
+        by_key: Callable[[str, str], DataFrame] | None = None,
+    ) -> None:
+        """``by_key(name, key)`` gives the copy of a table that lies by a key, where tables have several."""
         self.spark = spark
         self.source = source
         self.params = params
+        self.by_key = by_key or (lambda name, key: source(name))
+
+    @classmethod
+    def at_rest(cls, spark: SparkSession, root: str, params: Params | None = None) -> Book:
+        """A book whose tables were written by ``rest.write_at_rest``."""
+        read = rest.source_at_rest(spark, root)
+        return cls(spark, read, params or Params(), read)
 
     @classmethod
     def from_tables(cls, spark: SparkSession, root: str, params: Params | None = None, fmt: str = "parquet") -> Book:
@@ -57,6 +71,11 @@ class Book:
     def stg_policy_coverage(self) -> DataFrame:
         return staging.stg_policy_coverage(self.source("raw_policy_coverage"))
 
+    @cached_property
+    def stg_policy_coverage_by_coverage(self) -> DataFrame:
+        """The same rows, lying by coverage where that copy exists."""
+        return staging.stg_policy_coverage(self.by_key("raw_policy_coverage", "coverage_id"))
+
     @cached_property
     def stg_premium_transaction(self) -> DataFrame:
         return staging.stg_premium_transaction(self.source("raw_premium_transaction"))
@@ -175,13 +194,13 @@ class Book:
 
     @cached_property
     def premium_earning_segments(self) -> DataFrame:
-        return exposure.premium_earning_segments(self.stg_premium_transaction, self.stg_policy_coverage)
+        return exposure.premium_earning_segments(self.stg_premium_transaction, self.stg_policy_coverage_by_coverage)
 
     @cached_property
     def earned_premium_month(self) -> DataFrame:
         return exposure.earned_premium_month(
             self.stg_premium_transaction,
-            self.stg_policy_coverage,
+            self.stg_policy_coverage_by_coverage,
             self.params.calendar_start,
             self.params.calendar_end,
         )
@@ -196,16 +215,6 @@ class Book:
             self.dim_coverage,
         )
 
-    def exposure_keys(self, line_of_business: str) -> DataFrame:
-        """Keys of one line's rows of ``fct_exposure``, without earning any premium."""
-        own = self.coverage_active_period.where(F.col("line_of_business") == line_of_business)
-        return self._earned_exposure(own).select(
-            surrogate_key("risk_unit_id", "coverage_id", "calendar_month").alias("exposure_id"),
-            "policy_id",
-            "risk_unit_id",
-            F.lit(line_of_business).alias("line_of_business"),
-        )
-
     @cached_property
     def priced_policy(self) -> DataFrame:
         return exposure.priced_policy(self.stg_policy, self.stg_policy_coverage, self.stg_vehicle)
@@ -219,18 +228,25 @@ class Book:
     @cached_property
     def auto_exposure_attributes(self) -> DataFrame:
         return features.auto_exposure_attributes(
-            self.exposure_keys("personal_auto"),
+            self.coverage_active_period,
             self.dim_policy,
             self.dim_risk_unit,
             self.stg_vehicle,
             self.stg_driver_vehicle_assignment,
             self.stg_driver,
+            self.params.calendar_start,
+            self.params.calendar_end,
         )
 
     @cached_property
     def property_exposure_attributes(self) -> DataFrame:
         return features.property_exposure_attributes(
-            self.exposure_keys("commercial_property"), self.dim_policy, self.dim_risk_unit, self.stg_property_location
+            self.coverage_active_period,
+            self.dim_policy,
+            self.dim_risk_unit,
+            self.stg_property_location,
+            self.params.calendar_start,
+            self.params.calendar_end,
         )
 
     @cached_property
@@ -328,6 +344,19 @@ class Book:
             "claim_triangle_cumulative",
         )
 
+    @cached_property
+    def claim_triangle_versions(self) -> DataFrame:
+        """The pricing triangle under every version of the segmentation config, from one aggregation."""
+        finest = triangle.claim_triangle_from_events(
+            self.fct_claim,
+            self.fct_claim_transaction,
+            self.priced_policy,
+            self.params.as_of,
+            self.params.calendar_start,
+            FINEST,
+        )
+        return triangle.claim_triangle_versions(finest, segmentation_config(self.spark))
+
     @cached_property
     def claim_triangle_incremental(self) -> DataFrame:
         return triangle.claim_triangle_incremental(self.claim_triangle_cumulative)
@@ -361,8 +390,11 @@ class Book:
     def cdf(self, measure: str) -> DataFrame:
         return ldf.cdf(self.ldf_selected(measure), measure)
 
+    def cdf_by_month(self, measure: str) -> DataFrame:
+        return ldf.cdf_by_month(self.cdf(measure), hold_tail=self.params.tail_factor is not None)
+
     def ultimate_chain_ladder(self, measure: str) -> DataFrame:
-        return ultimate.ultimate_chain_ladder(self.claim_triangle_cumulative, self.cdf(measure), measure)
+        return ultimate.ultimate_chain_ladder(self.claim_triangle_cumulative, self.cdf_by_month(measure), measure)
 
     # ---- marts ------------------------------------------------------------------
 

@@ -11,13 +11,26 @@ from pyspark.sql import functions as F
 
 from ratewright.functions.dates import actual_end
 from ratewright.functions.segments import SEGMENT, all_versions
-from ratewright.operators import calendar, claims, core, exposure, features, governance, quality, review, rules, triangle
+from ratewright.operators import (
+    calendar,
+    claims,
+    contracts,
+    core,
+    exposure,
+    features,
+    governance,
+    quality,
+    review,
+    rules,
+    triangle,
+)
 from ratewright.operators.ldf import MEASURES
 from ratewright.plans.book import Book
+from ratewright.plans.perturb import FAULTS, Faulty, contested, perturbed
 from ratewright.plans.present import present
 from ratewright.session import scratch_path
-from ratewright.sources import schemas, staging, tables
-from ratewright.sources.sample_source import sample_book
+from ratewright.sources import rest, schemas, staging, tables
+from ratewright.sources.sample_source import resting_sample, sample_book, write_sample
 from ratewright.sources.sample_tables import SAMPLE_PARAMS
 
 QUERY_PARAMS = replace(SAMPLE_PARAMS, baseline_loss_method="Chain_ladder_incurred")
@@ -47,13 +60,9 @@ def book_for(spark: SparkSession, sf_dir: str, fresh: bool = False, **changes) -
 # ---- sources and sinks --------------------------------------------------------
 
 
-def _conformed(df: DataFrame, name: str) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.ALL[name]])
-
-
 def _round_trip(b: Book, name: str, reader: Callable, fmt: str = "parquet") -> DataFrame:
     root = scratch_path(b.spark, "tables")
-    df = _conformed(b.source(name), name)
+    df = rest.conformed(b.source(name), name)
     if fmt == "csv":
         tables.write_csv(df, f"{root}/{name}")
     else:
@@ -79,6 +88,22 @@ def _append(b: Book) -> DataFrame:
     )
 
 
+def _rerun_batches(b: Book) -> DataFrame:
+    """Two batches, each loaded twice and the first once more in place; one load has died without its marker."""
+    path = scratch_path(b.spark, "raw_premium_transaction")
+    moves = b.source("raw_premium_transaction")
+    first, second = moves.where("transaction_id % 2 = 0"), moves.where("transaction_id % 2 <> 0")
+    tables.load_batch(first, path, "batch 1")
+    tables.load_batch(second, path, "batch/2")
+    tables.load_batch(second, path, "batch/2")
+    tables.load_batch(first, path, "batch 1")
+    tables.load_batch(first, path, "batch 1", replace=True)
+    moves.drop("load_batch_id").write.parquet(f"{path}/load_batch_id=died")
+    return tables.read_batches(b.spark, path, moves.schema).groupBy("load_batch_id", "transaction_type").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("premium_change").alias("premium_change")
+    )
+
+
 def _load_batches(b: Book) -> DataFrame:
     return b.source("raw_policy").groupBy("load_batch_id", "ingested_at").agg(F.count(F.lit(1)).alias("row_count"))
 
@@ -92,6 +117,7 @@ SOURCES: dict[str, Build] = {
     "append_table": _append,
     "csv_table": lambda b: _round_trip(b, "raw_policy_coverage", tables.read_raw, "csv"),
     "upper_case_headers": lambda b: tables.upper_case_headers(b.stg_driver),
+    "load_batch_rerun": _rerun_batches,
     "concat_with_schema": lambda b: b.sample_raw.all_risk_units(),
 }
 
@@ -147,7 +173,7 @@ MODELS: dict[str, Build] = {
         "claim_financial_state_period claim_valuation_snapshot claim_development claim_snapshot "
         "auto_exposure_attributes property_exposure_attributes fct_exposure_attribute loss_triangle "
         "loss_triangle_pooled ldf_observations claim_triangle_cumulative claim_triangle_incremental ldf_raw ldf_avg "
-        "ldf_weighted ldf_last3_weighted fct_ultimate_loss fct_ultimate_claim_count fct_selected_ultimate_loss "
+        "claim_triangle_versions ldf_weighted ldf_last3_weighted fct_ultimate_loss fct_ultimate_claim_count fct_selected_ultimate_loss "
         "fct_selected_ultimate_claim_count fct_frequency_severity fct_frequency_severity_trended fct_pure_premium "
         "fct_indicated_premium mart_indicated_rate_change_pure_premium mart_control_totals_financial_summary "
         "mart_control_tolerance_by_metric mart_reconciliation_by_segment mart_assumption_impact_reconciliation "
@@ -178,6 +204,7 @@ for _grain in triangle.STEP_MONTHS:
 for _m in MEASURES:
     MODELS[f"ldf_selected_{_m}"] = lambda b, m=_m: b.ldf_selected(m)
     MODELS[f"cdf_{_m}"] = lambda b, m=_m: b.cdf(m)
+    MODELS[f"cdf_by_month_{_m}"] = lambda b, m=_m: b.cdf_by_month(m)
     MODELS[f"ultimate_{_m}_chain_ladder"] = lambda b, m=_m: b.ultimate_chain_ladder(m)
 
 # ---- review and governance -----------------------------------------------------------
@@ -209,7 +236,7 @@ def _next_versions(b: Book) -> DataFrame:
 def _registered(b: Book) -> DataFrame:
     """A new version appended to the stored register, read back whole."""
     root = scratch_path(b.spark, "governance")
-    register = _conformed(b.source("assumption_version"), "assumption_version")
+    register = rest.conformed(b.source("assumption_version"), "assumption_version")
     tables.append_table(register, f"{root}/assumption_version")
     row = governance.version_row(
         register, "trend_selection", "trend_selection-3", 2, 0, "actuary", "2002-02-01 00:00:00", comment="review"
@@ -218,6 +245,32 @@ def _registered(b: Book) -> DataFrame:
     return tables.read_governance(b.spark, root, "assumption_version").drop("uploaded_at")
 
 
+def _uploaded(b: Book) -> DataFrame:
+    """Two uploads of one assumption table: register, change log and metadata as they lie there afterwards."""
+    root = scratch_path(b.spark, "uploads")
+    at = "2002-01-01 00:00:00"
+    for df, note in ((b.sample_assumptions.previous_ldf_selection(), "first"), (b.source("ldf_selection_table"), "second")):
+        governance.upload_assumption(root, "ldf_selection", df, "actuary", note, dag_id="review", uploaded_at=at)
+    register, log, metadata = (
+        tables.read_governance(b.spark, root, name)
+        for name in ("assumption_version", "assumption_change_log", "pipeline_run_metadata")
+    )
+    before = register.select(
+        F.col("assumption_set_id").alias("previous_assumption_set_id"), F.col("version_sequence").alias("previous_sequence")
+    )
+    return (
+        log.select("assumption_set_id", "row_key", "change_type", "column_name", "old_value", "new_value")
+        .join(register.drop("assumption_type", "file_name"), "assumption_set_id")
+        .join(before, "previous_assumption_set_id", "left")
+        .join(metadata.select("assumption_set_id", F.col("version_label").alias("metadata_label")), "assumption_set_id")
+        .select(
+            "version_sequence", "version_label", "previous_sequence", "metadata_label", "status", "uploaded_by",
+            "upload_comment", "dag_id", "source_row_count", "change_count", "row_key", "change_type", "column_name",
+            "old_value", "new_value",
+        )
+    )
+
+
 def _duplicates(b: Book) -> DataFrame:
     """Keys repeated once the method is left out of the natural key."""
     keys = [k for k in governance.key_columns("selected_ultimate") if k != "METHOD"]
@@ -256,6 +309,7 @@ REVIEW: dict[str, Build] = {
         b.source("selected_ultimate"), governance.key_columns("selected_ultimate")
     ),
     "duplicate_keys": _duplicates,
+    "upload_assumption": _uploaded,
     "change_log": lambda b: _change_log(b).drop("changed_at"),
     "change_summary": lambda b: governance.change_summary(_change_log(b)),
     "next_version": _next_versions,
@@ -329,6 +383,7 @@ RULES: dict[str, Build] = {
     "running_premium_balance": lambda b: rules.running_premium_balance(b.stg_premium_transaction),
     "develop_ultimates": lambda b: rules.develop_ultimates(_rated_claims(b), b.params.as_of),
     "primary_driver": lambda b: rules.primary_driver(b.stg_driver_vehicle_assignment),
+    "primary_driver_contested": lambda b: rules.primary_driver(contested(b.stg_driver_vehicle_assignment)),
 }
 
 # ---- quality ------------------------------------------------------------------------
@@ -338,6 +393,43 @@ def _raw(b: Book) -> dict[str, DataFrame]:
     return {name: b.source(name) for name in quality.CONTRACT}
 
 
+CONTRACTS = {
+    "raw": contracts.RAW_CONTRACT,
+    "assumptions": contracts.ASSUMPTION_CONTRACT,
+    "governance": contracts.GOVERNANCE_CONTRACT,
+    "seeds": contracts.SEED_CONTRACT,
+    "core": contracts.CORE_CONTRACT,
+    "exposure": contracts.EXPOSURE_CONTRACT,
+    "claims": contracts.CLAIM_CONTRACT,
+}
+
+
+def _tables_of(b: Book, layer: str) -> dict[str, DataFrame]:
+    """The tables a contract speaks of, wherever the book has them."""
+    found = {name: getattr(b, name, None) for name in CONTRACTS[layer]}
+    return {
+        name: _change_log(b) if name == "assumption_change_log" else b.source(name) if df is None else df
+        for name, df in found.items()
+    }
+
+
+def _report(b: Book, layer: str, check: str) -> DataFrame:
+    report = contracts.contract_report(_tables_of(b, layer), CONTRACTS[layer], {check})
+    return report.select("table_name", "rule", "failing_rows")
+
+
+def _observed_load(b: Book) -> DataFrame:
+    """What a load of the perturbed premium transactions counted on its way, next to what lies there."""
+    name = "raw_premium_transaction"
+    path = scratch_path(b.spark, name)
+    seen = contracts.observed_load(perturbed(b.source(name), name), path, contracts.RAW_CONTRACT[name])
+    written = b.spark.createDataFrame(
+        [(check, rule, n) for (check, rule), n in seen.items()], "check_name string, rule string, failing_rows bigint"
+    )
+    lies = b.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_in_table"))
+    return written.join(lies)
+
+
 def _range_report(b: Book) -> DataFrame:
     """Ranges of the monthly exposure, with a tight one that real months break."""
     days = b.coverage_month.select("coverage_id", "calendar_month", "active_days")
@@ -469,7 +561,7 @@ def _checks(b: Book) -> dict[str, tuple[str, Build]]:
         checks[f"ultimate_equals_latest_{m}"] = (
             quality.ERROR,
             lambda b, m=m: quality.ultimate_equals_latest_at_unit_cdf(
-                b.ultimate_chain_ladder(m), b.claim_triangle_cumulative, b.cdf(m), m
+                b.ultimate_chain_ladder(m), b.claim_triangle_cumulative, b.cdf_by_month(m), m
             ),
         )
         checks[f"ultimate_below_latest_{m}"] = (
@@ -488,11 +580,11 @@ def quality_report(b: Book) -> DataFrame:
 
 QUALITY: dict[str, Build] = {
     "not_null_report": lambda b: quality.not_null_report(_raw(b)),
-    "unique_report": lambda b: quality.unique_report(_raw(b)),
+    "unique_report": lambda b: _report(b, "raw", "unique"),
     "accepted_values_report": lambda b: quality.accepted_values_report(_raw(b)),
-    "relationships_report": lambda b: quality.relationships_report(_raw(b)),
+    "relationships_report": lambda b: _report(b, "raw", "relationships"),
     "expression_report": lambda b: quality.expression_report(_raw(b)),
-    "unique_combination_report": lambda b: quality.unique_combination_report(_raw(b)),
+    "unique_combination_report": lambda b: _report(b, "raw", "unique_combination"),
     "accepted_range_report": _range_report,
     "effective_date_valid": lambda b: quality.effective_date_valid(
         b.stg_policy, "effective_date", b.params.as_of, CHECK_FROM
@@ -515,15 +607,51 @@ QUALITY: dict[str, Build] = {
     ).select("transaction_id", "premium_change"),
 }
 QUALITY.update({name: build for name, (_, build) in _checks(None).items()})
+QUALITY.update({f"contract_report_{k}": lambda b, k=k: contracts.contract_report(_tables_of(b, k), CONTRACTS[k]) for k in CONTRACTS})
+QUALITY["contract_report_raw_perturbed"] = lambda b: contracts.contract_report(
+    {name: perturbed(df, name) for name, df in _raw(b).items()}, contracts.RAW_CONTRACT
+)
+QUALITY["observed_load_report"] = _observed_load
+QUALITY["state_period_faults"] = lambda b: quality.state_period_faults(b.claim_financial_state_period)
+QUALITY["state_period_faults_perturbed"] = lambda b: quality.state_period_faults(
+    perturbed(b.claim_financial_state_period, "claim_financial_state_period")
+)
+
+# every check once more on an input that breaks it
+QUALITY.update(
+    {f"{name}_faulty": lambda b, n=name, f=fault: _checks(None)[n][1](Faulty(b, f)) for name, fault in FAULTS.items()}
+)
 
 BUILDS: dict[str, Build] = {
     **SOURCES, **STAGING, **CALENDAR, **MODELS, **REVIEW, **RULES, **QUALITY,
 }
 
-# the same models under a segmentation that keeps state and tier
-SEGMENTED = ["policy_exposure", "claim_triangle_cumulative"]
-# and the pricing chain at a valuation that is no year end
-MID_YEAR = ["claim_triangle_cumulative", "claim_triangle_from_snapshot", "mart_control_totals_financial_summary"]
+# the pricing chain, its controls and checks at a valuation that is no year end
+MID_YEAR = (
+    "valuation_dates claim_triangle_cumulative claim_triangle_from_snapshot claim_triangle_incremental "
+    "ldf_raw ldf_avg ldf_weighted ldf_last3_weighted ldf_selected_paid ldf_selected_incurred ldf_selected_claim_count "
+    "cdf_paid cdf_incurred cdf_claim_count cdf_by_month_paid cdf_by_month_incurred cdf_by_month_claim_count "
+    "ultimate_paid_chain_ladder ultimate_incurred_chain_ladder ultimate_claim_count_chain_ladder "
+    "fct_ultimate_loss fct_ultimate_claim_count fct_selected_ultimate_loss fct_selected_ultimate_claim_count "
+    "fct_frequency_severity fct_pure_premium fct_indicated_premium mart_indicated_rate_change_pure_premium "
+    "mart_control_totals_financial_summary mart_control_tolerance_by_metric mart_reconciliation_by_segment "
+    "triangle_reconciles_to_snapshot triangle_paid_not_decreasing ultimate_below_latest_paid"
+).split()
+
+
+# the same results from tables at rest
+AT_REST = "earned_premium_month claim_triangle_cumulative mart_indicated_rate_change_pure_premium policy_exposure".split()
+_resting: dict[tuple, Book] = {}
+
+
+def resting_book(spark: SparkSession, sf_dir: str) -> Book:
+    """The lineage of a directory over tables written at rest once in a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _resting:
+        root = scratch_path(spark, "at_rest")
+        write_sample(spark, sf_dir, root, QUERY_PARAMS)
+        _resting[key] = resting_sample(spark, sf_dir, root, QUERY_PARAMS)
+    return _resting[key]
 
 
 def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -531,10 +659,14 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         return lambda spark, sf_dir: present(build(book_for(spark, sf_dir, **changes)))
 
     queries = {name: query(build) for name, build in BUILDS.items()}
-    for name in SEGMENTED:
-        queries[f"{name}_v1"] = query(BUILDS[name], segmentation_version="v1")
+    queries["policy_exposure_v1"] = query(BUILDS["policy_exposure"], segmentation_version="v1")
+    queries["claim_triangle_cumulative_v1"] = query(
+        lambda b: b.claim_triangle_versions.where("segmentation_version = 'v1'").drop("segmentation_version")
+    )
     for name in MID_YEAR:
         queries[f"{name}_mid_year"] = query(BUILDS[name], as_of=date(2001, 6, 30))
+    for name in AT_REST:
+        queries[f"{name}_at_rest"] = lambda spark, sf_dir, n=name: present(BUILDS[n](resting_book(spark, sf_dir)))
     queries["assumption_impact_without_baseline"] = query(
         BUILDS["mart_assumption_impact_reconciliation"], baseline_loss_method="Chain_ladder"
     )

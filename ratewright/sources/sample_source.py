@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ratewright.params import Params
 from ratewright.plans.book import Book
+from ratewright.sources import rest, schemas
 from ratewright.sources.sample_assumptions import SampleAssumptions
 from ratewright.sources.sample_tables import SAMPLE_PARAMS, SampleBook
 
@@ -18,6 +19,20 @@ def _raw_tables(spark: SparkSession, sf_dir: str, params: Params) -> SampleBook:
     return SampleBook(spark, sf_dir, params)
 
 
+def write_sample(spark: SparkSession, sf_dir: str, root: str, params: Params = SAMPLE_PARAMS, buckets: int = 8) -> None:
+    """Derive every input table of the test book once and write it at rest below ``root``."""
+    book = sample_book(spark, sf_dir, params)
+    for name in (*schemas.RAW, *schemas.ASSUMPTIONS, "development_pool_mapping"):
+        rest.write_at_rest(root, name, rest.conformed(book.source(name), name), buckets)
+
+
+def resting_sample(spark: SparkSession, sf_dir: str, root: str, params: Params = SAMPLE_PARAMS) -> Book:
+    """The test book over tables that ``write_sample`` wrote."""
+    book = Book.at_rest(spark, root, params)
+    book.sample_assumptions = SampleAssumptions(_raw_tables(spark, sf_dir, params))
+    return book
+
+
 def sample_book(spark: SparkSession, sf_dir: str, params: Params = SAMPLE_PARAMS) -> Book:
     """The pricing lineage over one directory of test tables."""
     raw = _raw_tables(spark, sf_dir, params)

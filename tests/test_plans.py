@@ -5,8 +5,10 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from ratewright.plans.queries import build_queries
-from ratewright.session import RUNTIME_CONF, shared_dir
+from ratewright.plans.queries import BUILDS, build_queries, resting_book
+from ratewright.session import RUNTIME_CONF, scratch_path, shared_dir
+from ratewright.sources import rest
+from tests.conftest import SF_DIR
 
 LARGE = [
     "coverage_month",
@@ -18,6 +20,12 @@ LARGE = [
     "claim_snapshot",
     "loss_triangle",
     "fct_exposure_attribute",
+    "claim_triangle_versions",
+    "mart_indicated_rate_change_pure_premium",
+    "mart_reconciliation_by_segment",
+    "relationships_report",
+    "running_premium_balance",
+    "contract_report_core",
 ]
 
 
@@ -27,7 +35,7 @@ def plan_of(df):
 
 @pytest.mark.parametrize("name", LARGE)
 def test_no_nested_loop_no_python(book, name):
-    plan = plan_of(getattr(book, name))
+    plan = plan_of(BUILDS[name](book))
     for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in plan
 
@@ -39,6 +47,70 @@ def test_months_expand_after_the_last_exchange(book):
     assert "Exchange" not in above and above.count("HashAggregate") == 2
 
 
+@pytest.mark.parametrize("name", ["auto_exposure_attributes", "property_exposure_attributes"])
+def test_factors_expand_after_the_last_exchange(book, name):
+    """Attributes meet coverages, then months and factors are listed: no exploded row is shuffled."""
+    tree = plan_of(getattr(book, name)).split("\n\n")[0]
+    above = tree[: tree.index("Generate", tree.index("Generate") + 1)]  # above the months
+    assert "Exchange" not in above
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def exchanges(df):
+    """Keys of the exchanges of a plan."""
+    return re.findall(r"Exchange\n(?:.*\n)*?Arguments: ([a-z]+partitioning\([^)]*\)|\S+)", plan_of(df))
+
+
+def test_tables_at_rest_join_without_exchange(spark, no_broadcast):
+    rested = resting_book(spark, SF_DIR)
+    assert exchanges(rested.earned_premium_month) == []
+    assert exchanges(rested.premium_earning_segments) == []
+    pairs = rested.stg_claim_transaction.join(rested.stg_claim.select("claim_id", "policy_id"), "claim_id")
+    assert exchanges(pairs) == []
+    # the policy join needs none; only the risk units are met on another key
+    assert all("risk_unit_id" in key for key in exchanges(rested.coverage_active_period))
+    assert exchanges(rested.stg_vehicle.join(rested.stg_policy.select("policy_id"), "policy_id")) == []
+
+
+def test_results_at_rest_are_the_same(spark, book):
+    rested = resting_book(spark, SF_DIR)
+    for name in ("claim_triangle_cumulative", "ldf_weighted", "fct_ultimate_loss"):
+        same = lambda b, n=name: sorted(map(str, getattr(b, n).collect()))
+        assert same(rested) == same(book)
+    assert rested.fct_exposure.count() == book.fct_exposure.count()
+
+
+def test_a_table_with_a_hot_key_lies_without_buckets(spark):
+    root = scratch_path(spark, "hot")
+    claims = rest.conformed(
+        spark.range(4000).selectExpr("*", *[f"CAST(NULL AS STRING) AS `{c}`" for c in rest.schemas.RAW["raw_claim"].names if c != "claim_id"],
+                                     "IF(id < 3000, 'fleet', CAST(id AS STRING)) AS claim_id"),
+        "raw_claim",
+    )
+    rest.write_at_rest(root, "raw_claim", claims, buckets=16)
+    back = rest.source_at_rest(spark, root)("raw_claim")
+    assert back.count() == 4000 and "Bucketed: true" not in plan_of(back)
+    with pytest.raises(KeyError):
+        rest.source_at_rest(spark, root)("no_such")
+
+
+def test_tables_at_rest_are_registered_again(spark):
+    """A new session knows the files and the manifest only."""
+    root = scratch_path(spark, "again")
+    rows = spark.range(100).selectExpr("CAST(id AS STRING) AS claim_id", "1 AS n")
+    full = rest.conformed(rows.selectExpr("*", *[f"CAST(NULL AS STRING) AS `{c}`" for c in rest.schemas.RAW["raw_claim"].names if c != "claim_id"]), "raw_claim")
+    rest.write_at_rest(root, "raw_claim", full, buckets=4)
+    spark.sql(f"DROP TABLE {rest._table_name(root, 'raw_claim', 'claim_id')}")
+    back = rest.source_at_rest(spark, root)("raw_claim")
+    assert back.count() == 100 and exchanges(back.groupBy("claim_id").count()) == []
+
+
 def test_only_needed_columns_are_scanned(book):
     plan = plan_of(book.claim_triangle_cumulative)
     assert "c_nationkey" not in plan
