@@ -7,7 +7,9 @@ the vocabulary. Words and pairs, of which most are rare, are first counted in 2*
 buckets by their codes: a task adds its own up and sends each range of buckets as one
 packed row, and what lies in a bucket below the threshold is rare. Buckets only ever let
 too much through, never too little. What a task needs to know of the level below is one
-bit array of fixed size, with false positives only.
+bit array of fixed size, with false positives only. Spelling a phrase out costs a row, so
+the phrases that a sixteenth of the streams shows to be common are found there first, in
+tasks as large as any, and all other tasks send only what is not among these.
 
 One pass over the texts fills the word buckets. A second one turns the texts into streams
 of 64-bit word codes, 0 where a piece ends or a rare word stands, and counts the other words.
@@ -47,7 +49,11 @@ from ratewright.llm.words import Words, byte_class, mix, powers, segments, words
 
 LONGEST = 5
 ROW_CODES = 32_768  # codes of a stream in one row
-HELD = 500_000  # numbers a task holds before it adds them up or passes them on
+HELD = 250_000  # counted phrases a task holds before it adds them up or passes them on
+SHARD_HELD = 2_000_000  # bucket numbers, of four bytes
+KNOWN = 1_000_000  # phrases found in a share of the streams that tasks need not send again
+SHARE = 16
+TASK_ROWS = 256  # rows of a stream, 64 MiB, that a task of that share reads
 SEGMENT_BYTES = 1 << 18  # text read at once; arrays over it take some hundred times as much
 TRIE_PHRASES = 400_000  # candidates in one broadcast trie
 BITS = 27  # the bit array has 2**27 bits: 16 MiB
@@ -87,9 +93,9 @@ class _Shard:
     def add(self, ids: np.ndarray) -> Iterator[tuple[int, bytes]]:
         self.held.append((ids, np.broadcast_to(np.uint32(1), len(ids))))
         self.size += len(ids)
-        if self.size > HELD:
+        if self.size > SHARD_HELD:
             self._merge()
-            if self.size > HELD // 2:
+            if self.size > SHARD_HELD // 2:
                 yield from self.rows()
 
     def _merge(self) -> None:
@@ -351,9 +357,9 @@ def _spell(seed: int, shared):
             counts = np.diff(np.concatenate((new, [len(order)]))).astype(np.int64)
             langs = pa.array(names, pa.string()).take(pa.array(read.langs[first]))
             tally.add(codes[first], low, langs, _gather(read.words, first), counts, low != high)
-            if tally.rows > HELD:
+            if tally.rows > 2 * HELD:
                 tally.merge()
-                if tally.rows > HELD // 2:
+                if tally.rows > HELD:
                     yield from tally.batches()
         yield from _streams(_stream_rows(rest, True)[0])
         yield from tally.batches()
@@ -425,8 +431,8 @@ def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, in
             yield np.frombuffer(blob.as_buffer(), dtype=np.uint64), own
 
 
-def _count_pairs(shared):
-    """Pair buckets of a task."""
+def _count_phrases(shared, k: int):
+    """Buckets of the phrases of k words of a task."""
 
     def row(number: int, blob: bytes) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([blob], pa.binary())], names=["range", "blob"])
@@ -434,7 +440,7 @@ def _count_pairs(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = _Shard()
         for stream, own in _rows_of(batches):
-            _, keys = _allowed(stream, own, shared.value, 2)
+            _, keys = _allowed(stream, own, shared.value, k)
             yield from (row(*found) for found in shard.add(_buckets(keys)))
         yield from (row(*found) for found in shard.rows())
 
@@ -450,10 +456,10 @@ def _grouped(codes: np.ndarray, keys: np.ndarray, counts: np.ndarray):
     return codes[:, new], keys[new], np.add.reduceat(counts, new)
 
 
-def _sieve(shared, k: int, own_bits=None):
+def _sieve(shared, k: int, own_bits=None, known=None):
     """Phrases of k words that occur and whose parts of k - 1 words may be candidates, with counts.
 
-    With ``own_bits`` only those that are set there themselves.
+    With ``own_bits`` only those that are set there themselves; none of the ``known`` keys, in order.
     """
 
     def emit(codes, keys, counts) -> Iterator[pa.RecordBatch]:
@@ -472,6 +478,10 @@ def _sieve(shared, k: int, own_bits=None):
             if own_bits is not None:
                 often = is_set(own_bits.value, keys)
                 at, keys = at[often], keys[often]
+            if known is not None and len(known.value):
+                place = np.minimum(np.searchsorted(known.value, keys), len(known.value) - 1)
+                fresh = known.value[place] != keys
+                at, keys = at[fresh], keys[fresh]
             if not len(at):
                 continue
             held.append(_grouped(np.stack([stream[at + i] for i in range(k)]), keys, np.ones(len(at), np.int64)))
@@ -500,24 +510,43 @@ def _keyed(k: int):
     return run
 
 
+def _spelled(streams: DataFrame, shared, k: int, own_bits, least: int) -> DataFrame:
+    """(c1..ck): the phrases of k words that the sieve lets through and that may occur ``least`` times.
+
+    A phrase that a share of the streams shows often enough is a candidate at once. All
+    others are counted over all streams, and stay if they reach ``least``.
+    """
+    spark = streams.sparkSession
+    names = [f"c{i}" for i in range(1, k + 1)]
+    schema = ", ".join(["n bigint", *(f"{c} bigint" for c in names)])
+
+    def counted(rows: DataFrame, known, enough: int) -> DataFrame:
+        found = rows.mapInArrow(_sieve(shared, k, own_bits, known), schema).groupBy(*names).agg(F.sum("n").alias("n"))
+        return found.where(F.col("n") >= enough)
+
+    some = streams.where(F.pmod(F.xxhash64(F.substring("codes", 1, 256)), F.lit(SHARE)) == 0)
+    some = some.coalesce(max(1, streams.count() // (SHARE * TASK_ROWS)))
+    first = materialize(
+        counted(some, None, max(2, least // (2 * SHARE))).orderBy(F.desc("n"), *names).limit(KNOWN).select(*names), f"known_{k}"
+    )
+    keys = first.mapInArrow(_keyed(k), "key bigint").toArrow().column("key").to_numpy()  # KNOWN at most
+    known = spark.sparkContext.broadcast(np.sort(keys.view(np.uint64)))
+    rest = counted(streams, known, least).select(*names)
+    return materialize(first.unionByName(rest), f"candidates_{k}")
+
+
 def candidates(streams: DataFrame, words: DataFrame, least: int) -> DataFrame:
     """(c1..c5): every phrase of 2 to ``LONGEST`` words that may occur ``least`` times."""
     spark = streams.sparkSession
     shared = spark.sparkContext.broadcast(bit_array(words.select(F.col("code").alias("key"))))
-    pairs = frequent_buckets(streams.mapInArrow(_count_pairs(shared), "range int, blob binary"), least)
-    own_bits, found = spark.sparkContext.broadcast(pairs), None
+    found = None
     for k in range(2, LONGEST + 1):
         names = [f"c{i}" for i in range(1, k + 1)]
-        schema = ", ".join(["n bigint", *(f"{c} bigint" for c in names)])
-        level = materialize(
-            streams.mapInArrow(_sieve(shared, k, own_bits), schema)
-            .groupBy(*names)
-            .agg(F.sum("n").alias("n"))
-            .where(F.col("n") >= least)
-            .select(*names),
-            f"candidates_{k}",
-        )
         own_bits = None
+        if k <= 3:  # of longer phrases Apriori leaves little
+            shards = streams.mapInArrow(_count_phrases(shared, k), "range int, blob binary")
+            own_bits = spark.sparkContext.broadcast(frequent_buckets(shards, least))
+        level = _spelled(streams, shared, k, own_bits, least)
         if k < LONGEST:
             shared = spark.sparkContext.broadcast(bit_array(level.mapInArrow(_keyed(k), "key bigint")))
         some = level.select(*names, *(F.lit(None).cast("bigint").alias(f"c{i}") for i in range(k + 1, LONGEST + 1)))

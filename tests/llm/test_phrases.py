@@ -72,6 +72,8 @@ def texts(seed, n, vocabulary=("the", "a", "New", "york", "é", "ß日", "x"), e
 def test_equal_to_a_count_of_all_phrases(spark, monkeypatch, row_codes, at_once):
     monkeypatch.setattr(phrases, "ROW_CODES", row_codes)
     monkeypatch.setattr(phrases, "HELD", 50)
+    monkeypatch.setattr(phrases, "SHARE", 3)
+    monkeypatch.setattr(phrases, "KNOWN", 9)
     rows = texts(3, 120) + [("New York New York New York", "en")] * 9 + [(None, "en"), ("", None), (" .\n ", "xx")]
     got = found(spark, rows, 6, 25, at_once=at_once)
     assert got == brute(rows, 6, 25)
@@ -126,14 +128,14 @@ def test_packed_counts_come_back(counts):
 @given(st.lists(st.lists(st.integers(0, 5), max_size=30), max_size=6), st.sampled_from([2, 1000]))
 @settings(max_examples=60, deadline=None)
 def test_a_shard_adds_up_whatever_it_passes_on_early(lists, held):
-    phrases_held, phrases.HELD = phrases.HELD, held
+    before, phrases.SHARD_HELD = phrases.SHARD_HELD, held
     try:
         shard, rows, spread = phrases._Shard(), [], 700_000
         for ids in lists:
             rows += list(shard.add(np.array(ids, np.uint32) * np.uint32(spread)))
         rows += list(shard.rows())
     finally:
-        phrases.HELD = phrases_held
+        phrases.SHARD_HELD = before
     total = collections.Counter()
     for number, blob in rows:
         for i, n in zip(*phrases.unpack(blob)):
