@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,17 @@ def full_outer(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return left.join(right, keys, "full")
 
 
+def side_by_side(frames: list[DataFrame], keys: list[str]) -> DataFrame:
+    """Full outer join of tables that each have one row a key at most.
+
+    The tables are stacked and each key's one value of a column picked, in one
+    aggregation. Keys that a segmentation makes constant leave a join nothing to
+    match on; they group like any other.
+    """
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in stacked.columns if c not in keys])
+
+
 def at_latest_valuation(df: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Rows of ``df`` at the latest valuation date of the snapshot."""
     return df.where(F.col("valuation_date") == snapshot.agg(F.max("valuation_date")).scalar())
@@ -137,7 +150,7 @@ def mart_reconciliation_by_segment(
         F.sum("total_earned_exposure").alias("total_earned_exposure"),
         F.sum("total_earned_premium").alias("total_earned_premium"),
     )
-    joined = full_outer(full_outer(source, target, SEGMENT), exposure, SEGMENT)
+    joined = side_by_side([source, target, exposure], SEGMENT)
 
     def gap(what: str) -> Column:
         return F.col(f"target_{what}") - F.col(f"source_{what}")
