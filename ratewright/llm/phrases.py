@@ -141,7 +141,20 @@ def _summed(shards: DataFrame, then, schema: str) -> DataFrame:
     return shards.repartition("range").sortWithinPartitions("range").mapInArrow(_sum_shards(then), schema)
 
 
-def frequent_buckets(shards: DataFrame, least: int) -> np.ndarray:
+class Bits:
+    """A bit array of 2**BITS bits that travels compressed: most bits are 0."""
+
+    def __init__(self, words: np.ndarray) -> None:
+        self.words = words
+
+    def __getstate__(self) -> bytes:
+        return zstandard.ZstdCompressor(level=1).compress(self.words.tobytes())
+
+    def __setstate__(self, state: bytes) -> None:
+        self.words = np.frombuffer(zstandard.ZstdDecompressor().decompress(state), dtype=np.uint64)
+
+
+def frequent_buckets(shards: DataFrame, least: int) -> Bits:
     """The bit array of buckets with at least ``least``."""
 
     def bits(number: int, sums: np.ndarray) -> pa.RecordBatch:
@@ -153,10 +166,10 @@ def frequent_buckets(shards: DataFrame, least: int) -> np.ndarray:
     for row in _summed(shards, bits, "range int, bits binary").collect():  # 2**(BITS - RANGE_BITS) rows
         found = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(row.bits)), dtype=np.uint64)
         out[row.range * wide : (row.range + 1) * wide] = found
-    return out
+    return Bits(out)
 
 
-def bit_array(keys: DataFrame) -> np.ndarray:
+def bit_array(keys: DataFrame) -> Bits:
     """2**BITS bits, set at the upper bits of every ``key``; built in Spark, a slot of 64 bits a row."""
     spot = F.shiftrightunsigned("key", 64 - BITS)
     bit = F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(key, {64 - BITS}) & 63 AS INT))")
@@ -168,12 +181,12 @@ def bit_array(keys: DataFrame) -> np.ndarray:
     )
     out = np.zeros(1 << (BITS - 6), dtype=np.uint64)
     out[slots.column("slot").to_numpy()] = slots.column("bits").to_numpy().view(np.uint64)
-    return out
+    return Bits(out)
 
 
-def is_set(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+def is_set(bits: Bits, keys: np.ndarray) -> np.ndarray:
     spot = keys >> np.uint64(64 - BITS)
-    return (bits[spot >> np.uint64(6)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
+    return (bits.words[spot >> np.uint64(6)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
 
 
 def _buckets(keys: np.ndarray) -> np.ndarray:
@@ -385,6 +398,7 @@ def word_streams(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame, Dat
         bits = frequent_buckets(counted.where("blob IS NOT NULL").select("range", "blob"), least)
         shared = spark.sparkContext.broadcast(bits)
         encoded = materialize(rows.mapInArrow(_spell(seed, shared), _STREAM), "streams")
+        shared.unpersist()
         # dealt by code alone, so that two words of one code meet; tasks have added up their own rows
         words = materialize(
             encoded.where("code IS NOT NULL")
@@ -410,7 +424,7 @@ def roll(states: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return mix(states * _STEP + codes)
 
 
-def _allowed(stream: np.ndarray, own: int, bits: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def _allowed(stream: np.ndarray, own: int, bits: Bits, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Own positions whose phrases of k - 1 words, there and one word on, are both set; and the k words' codes."""
     if len(stream) < k:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
@@ -532,7 +546,9 @@ def _spelled(streams: DataFrame, shared, k: int, own_bits, least: int) -> DataFr
     keys = first.mapInArrow(_keyed(k), "key bigint").toArrow().column("key").to_numpy()  # KNOWN at most
     known = spark.sparkContext.broadcast(np.sort(keys.view(np.uint64)))
     rest = counted(streams, known, least).select(*names)
-    return materialize(first.unionByName(rest), f"candidates_{k}")
+    spelled = materialize(first.unionByName(rest), f"candidates_{k}")
+    known.unpersist()
+    return spelled
 
 
 def candidates(streams: DataFrame, words: DataFrame, least: int) -> DataFrame:
@@ -547,6 +563,8 @@ def candidates(streams: DataFrame, words: DataFrame, least: int) -> DataFrame:
             shards = streams.mapInArrow(_count_phrases(shared, k), "range int, blob binary")
             own_bits = spark.sparkContext.broadcast(frequent_buckets(shards, least))
         level = _spelled(streams, shared, k, own_bits, least)
+        for done in filter(None, (shared, own_bits)):
+            done.unpersist()
         if k < LONGEST:
             shared = spark.sparkContext.broadcast(bit_array(level.mapInArrow(_keyed(k), "key bigint")))
         some = level.select(*names, *(F.lit(None).cast("bigint").alias(f"c{i}") for i in range(k + 1, LONGEST + 1)))
