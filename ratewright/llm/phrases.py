@@ -50,7 +50,7 @@ from ratewright.llm.words import Words, byte_class, mix, powers, segments, words
 LONGEST = 5
 ROW_CODES = 32_768  # codes of a stream in one row
 HELD = 250_000  # counted phrases a task holds before it adds them up or passes them on
-SHARD_HELD = 2_000_000  # bucket numbers, of four bytes
+SHARD_HELD = 500_000  # bucket numbers, of four bytes
 KNOWN = 1_000_000  # phrases found in a share of the streams that tasks need not send again
 SHARE = 16
 TASK_ROWS = 256  # rows of a stream, 64 MiB, that a task of that share reads
