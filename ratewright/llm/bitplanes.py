@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ratewright.llm.tokens import PLAIN, encoder
+from ratewright.llm.tokens import AT_ONCE, PLAIN, encoder
 from ratewright.llm.words import chunks
 
 MAGIC = b"IDPLANE1"
@@ -104,7 +104,7 @@ def _segments(path: str, units: str, end_id: int, bits: bool):
             return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=["segment"])
 
         for batch in batches:
-            for first, last in chunks(batch.column(1)):
+            for first, last in chunks(batch.column(1), AT_ONCE):
                 texts = batch.column(1).slice(first, last - first).to_pylist()
                 names = batch.column(0).slice(first, last - first).to_pylist()
                 for doc_id, data in zip(names, own.encode([t or "" for t in texts])):

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewright.llm.common import materialize
-from ratewright.llm.tokens import CACHE_UNITS, SPACED, encoder
+from ratewright.llm.tokens import AT_ONCE, CACHE_UNITS, SPACED, encoder
 from ratewright.llm.words import chunks
 
 BLOCK = 4096
@@ -47,7 +47,7 @@ def _pieces(path: str, units: str, capacity: int, end_id: int, with_ids: bool, c
         row = (task.partitionId() if task else 0) << 40
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            for first, last in chunks(batch.column(1)):
+            for first, last in chunks(batch.column(1), AT_ONCE):
                 texts = batch.column(1).slice(first, last - first).to_pylist()
                 ids = batch.column(0).slice(first, last - first).to_pylist()
                 out: list[tuple] = []

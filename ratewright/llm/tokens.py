@@ -7,7 +7,9 @@ may start with one space, ``PLAIN`` for tokenizers that drop white space: runs o
 Latin letters and a full stop or comma before white space are units, and so is any
 other run without white space. Texts for which a cut could matter (special tokens in
 the text, or characters on whose being white space libraries differ) go to the
-library whole.
+library whole; texts with white space beyond ASCII are cut by the patterns themselves.
+All others are cut as UTF-8 bytes by array operations, their units told apart by one
+dictionary encoding, and their ids gathered from those of the distinct units.
 """
 
 from __future__ import annotations
@@ -17,15 +19,62 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+
+from ratewright.llm.words import byte_class, text_buffers
 
 _LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]"
 _STOP = r"[.,](?=\s|\Z)"
 SPACED = rf" ?{_LETTERS}+(?=[.,]?(?:\s|\Z))|{_STOP}| ?\S+|\s+(?!\S)|\s+"
 PLAIN = rf"{_LETTERS}+(?=[.,]?(?:\s|\Z))|{_STOP}|\S+"
 _ODD = r"[\x1c-\x1f\x85᠎​﻿]"
+_WIDE = r"[\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"  # white space beyond ASCII
+_SPACE = byte_class((0x09, 0x0D), (0x20, 0x20))
+_LETTER = byte_class((0x41, 0x5A), (0x61, 0x7A), (0xC3, 0xC3))
 CACHE_UNITS = 1_000_000  # per generation, of two; about 160 bytes each
 CACHED_LENGTH = 40  # longer units are encoded but not kept
 ASK = 20_000  # units per call of the library
+AT_ONCE = 4 << 20  # bytes of text that callers encode at once
+
+
+def cut(column: pa.Array, spaced: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of the rows, where their units begin (and the end), and which unit is the first of each row.
+
+    Cuts as ``SPACED`` or ``PLAIN`` do where the only white space is ASCII; for ``PLAIN``
+    the runs of white space are among the units.
+    """
+    data, offsets = text_buffers(column)
+    data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
+    n = len(data)
+    space = _SPACE[data]
+    solid = np.concatenate(([False], ~space, [False]))
+    edge = np.zeros(n + 1, dtype=bool)  # a row begins
+    edge[offsets] = True
+    begins = np.flatnonzero(solid[1:-1] & (~solid[:-2] | edge[:-1]))
+    ends = np.flatnonzero(solid[1:-1] & (~solid[2:] | edge[1:])) + 1
+    # letters and a full stop or comma are two units
+    after = np.zeros(n, dtype=bool)
+    after[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0xBF) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    odd = np.concatenate(([0], np.cumsum(~(_LETTER[data] | after))))
+    last = data[ends - 1] if n else data
+    split = ((last == 0x2E) | (last == 0x2C)) & (ends - begins > 1) & (odd[ends - 1] == odd[begins])
+    mark = edge.copy()
+    mark[ends[split] - 1] = True
+    mark[ends] = True
+    if spaced:
+        # one space before a word belongs to it; what is before that is a unit, any other last character too
+        gap = begins > 0
+        gap[gap] &= space[begins[gap] - 1] & ~edge[begins[gap]]
+        own = gap.copy()
+        own[gap] = data[begins[gap] - 1] == 0x20
+        mark[begins[~own]] = True
+        mark[begins[gap] - 1] = True
+    else:
+        mark[begins] = True
+    starts = np.flatnonzero(mark)
+    if not len(starts) or starts[-1] != n:
+        starts = np.append(starts, n)
+    return data, starts, np.searchsorted(starts, offsets)
 
 
 class Encoder:
@@ -38,7 +87,10 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         special = [re.escape(t.content) for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._whole = re.compile("|".join([_ODD, *special]), re.IGNORECASE)
+        self._wide = re.compile(_WIDE)
         self._units = re.compile(units)
+        self._spaced = units == SPACED
+        self._by_arrays = units in (SPACED, PLAIN)
         self._cache_units = cache_units
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
@@ -57,34 +109,66 @@ class Encoder:
             found.update((u, ids[edges[i] : edges[i + 1]]) for i, u in enumerate(some))
         return found
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        out: list[bytes] = [b""] * len(texts)
-        cut: list[tuple[int, list[str]]] = []
-        seen: set[str] = set()
-        for i, text in enumerate(texts):
-            if self._whole.search(text):
-                out[i] = self._ids(text)
-            else:
-                cut.append((i, units := self._units.findall(text)))
-                seen.update(units)
+    def _known(self, units) -> dict[str, bytes]:
+        """The ids of all of ``units`` and maybe more; asks the library for new ones."""
         if len(self._young) > self._cache_units:
             self._young, self._old = {}, self._young
         young, old = self._young, self._old
-        unknown = [u for u in seen if u not in young]
         new = []
-        for unit in unknown:
-            known = old.get(unit)
-            if known is None:
-                new.append(unit)
-            else:
-                young[unit] = known
+        for unit in units:
+            if unit not in young:
+                known = old.get(unit)
+                if known is None:
+                    new.append(unit)
+                else:
+                    young[unit] = known
         young.update(self._ids_of_units(new))
-        for i, units in cut:
-            out[i] = b"".join(map(young.__getitem__, units))
-        for unit in new:
-            if len(unit) > CACHED_LENGTH:
-                del young[unit]
+        self._long = [u for u in new if len(u) > CACHED_LENGTH]
+        return young
+
+    def _forget_long(self) -> None:
+        for unit in self._long:
+            del self._young[unit]
+
+    def _by_patterns(self, text: str) -> bytes:
+        units = self._units.findall(text)
+        found = self._known(set(units))
+        out = b"".join(map(found.__getitem__, units))
+        self._forget_long()
+        return out
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        out: list[bytes] = [b""] * len(texts)
+        plain = list(texts)
+        for i, text in enumerate(texts):
+            if self._whole.search(text):
+                out[i], plain[i] = self._ids(text), ""
+            elif not self._by_arrays or (not text.isascii() and self._wide.search(text)):
+                out[i], plain[i] = self._by_patterns(text), ""
+        data, starts, first = cut(pa.array(plain, pa.large_string()), self._spaced)
+        if len(starts) < 2:
+            return out
+        units = pa.Array.from_buffers(
+            pa.large_string(), len(starts) - 1, [None, pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(data)]
+        ).dictionary_encode()
+        distinct = units.dictionary.to_pylist()
+        which = units.indices.to_numpy()
+        silent = [not self._spaced and (not u or u[0] in " \t\n\v\f\r") for u in distinct]
+        found = self._known(u for u, quiet in zip(distinct, silent) if not quiet)
+        each = [b"" if quiet else found[u] for u, quiet in zip(distinct, silent)]
+        self._forget_long()
+        sizes = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        before = np.concatenate(([0], np.cumsum(sizes)))
+        ids = np.frombuffer(b"".join(each), dtype="<u4")
+        counts = sizes[which]
+        stops = np.concatenate(([0], np.cumsum(counts)))
+        at = np.arange(stops[-1]) + np.repeat(before[which] - stops[:-1], counts)
+        flat = ids[at].tobytes()
+        edges = (4 * stops[first]).tolist()
+        for i, (low, high) in enumerate(zip(edges[:-1], edges[1:])):
+            if high > low:
+                out[i] = flat[low:high]
         return out
 
 
