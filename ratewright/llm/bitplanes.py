@@ -176,17 +176,26 @@ def _documents(with_ids: bool):
     return run
 
 
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Place and number of ids of each file, from its footer alone."""
+    for batch in batches:
+        rows = []
+        for value in batch.column(0):
+            data = memoryview(value.as_buffer())
+            if len(data):
+                footer = read_footer(data[:-1])
+                rows.append((*footer["order"], sum(count for _, count, _ in footer["chunks"])))
+        part, number, n = zip(*rows) if rows else ((), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (part, number, n)], names=["part", "number", "n"])
+
+
 def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32[, ids]) of every document of the files below ``path``."""
     schema = "part bigint, number bigint, doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
-    found = (
-        spark.read.format("binaryFile")
-        .load(path)
-        .select("content")
-        .mapInArrow(_documents(with_ids), schema + (", ids binary" if with_ids else ""))
-    )
+    files = spark.read.format("binaryFile").load(path).select("content")
+    found = files.mapInArrow(_documents(with_ids), schema + (", ids binary" if with_ids else ""))
     # ids before each segment: within its part, and before the part; a row per part meets in one task
-    sizes = found.groupBy("part", "number").agg(F.sum("n_tokens").alias("n"))
+    sizes = files.mapInArrow(_sizes, "part bigint, number bigint, n bigint")
     within = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     parts = sizes.groupBy("part").agg(F.sum("n").alias("n"))
     across = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
