@@ -40,14 +40,14 @@ SLACK = 0.97  # bins filled less go to the last level
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
-def _pieces(path: str, units: str, capacity: int, end_id: int, with_ids: bool, cache_units: int):
+def _pieces(path: str, units: str, capacity: int, end_id: int, with_ids: bool, cache_units: int, at_once: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, units, cache_units)
         task = TaskContext.get()
         row = (task.partitionId() if task else 0) << 40
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            for first, last in chunks(batch.column(1), AT_ONCE):
+            for first, last in chunks(batch.column(1), at_once):
                 texts = batch.column(1).slice(first, last - first).to_pylist()
                 ids = batch.column(0).slice(first, last - first).to_pylist()
                 out: list[tuple] = []
@@ -81,11 +81,13 @@ def token_pieces(
     end_id: int = 2,
     with_ids: bool = False,
     cache_units: int = CACHE_UNITS,
+    at_once: int = AT_ONCE,
 ) -> DataFrame:
     """Pieces of at most ``capacity`` tokens of every document, with a row number unique in the table."""
     schema = f"{PIECE}, row bigint" + (", ids binary" if with_ids else "")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(_pieces(tokenizer_path, units, capacity, end_id, with_ids, cache_units), schema)
+    pieces = _pieces(tokenizer_path, units, capacity, end_id, with_ids, cache_units, at_once)
+    return texts.mapInArrow(pieces, schema)
 
 
 class Grouping:
