@@ -15,6 +15,7 @@ from ratewright.llm.queries import importable, tokenizer
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 CACHE_UNITS = 200_000  # the workers keep what other stages need as well
+AT_ONCE = 1 << 20  # bytes of text they encode at once
 TOXIC_FROM = 0.5  # a document with at least this score is rejected
 
 
@@ -45,7 +46,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
-    pieces = materialize(packing.token_pieces(docs, tokenizer("byte_bpe_50k.json"), cache_units=CACHE_UNITS), "pieces")
+    tokens = packing.token_pieces(docs, tokenizer("byte_bpe_50k.json"), cache_units=CACHE_UNITS, at_once=AT_ONCE)
+    pieces = materialize(tokens, "pieces")
     return packing.pack(pieces).drop("row")
 
 
