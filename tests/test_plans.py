@@ -6,8 +6,9 @@ import pytest
 
 import __spark_entry__ as entry
 from ratewright.plans.queries import BUILDS, build_queries, resting_book
-from ratewright.session import RUNTIME_CONF, scratch_path, shared_dir
+from ratewright.session import RUNTIME_CONF, scratch_path, shared_dir, size_to
 from ratewright.sources import rest
+from ratewright.sources.sample_source import sample_partitions
 from tests.conftest import SF_DIR
 
 LARGE = [
@@ -111,6 +112,21 @@ def test_tables_at_rest_are_registered_again(spark):
     assert back.count() == 100 and exchanges(back.groupBy("claim_id").count()) == []
 
 
+def test_buckets_and_shuffles_grow_with_the_input(spark):
+    root = scratch_path(spark, "sized")
+    for name, rows in (("orders", 1_000), ("lineitem", 1_000_000)):
+        spark.range(rows).selectExpr("uuid() AS u").coalesce(1).write.parquet(f"{root}/{name}.parquet")
+    worth = sample_partitions(spark, root)
+    assert worth >= 8 and sample_partitions(spark, SF_DIR) == 1
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    try:
+        assert int(size_to(spark, 4 * worth).conf.get("spark.sql.shuffle.partitions")) == 4 * worth
+        assert size_to(spark, 1).conf.get("spark.sql.shuffle.partitions") == "8"  # the caller's
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_only_needed_columns_are_scanned(book):
     plan = plan_of(book.claim_triangle_cumulative)
     assert "c_nationkey" not in plan
