@@ -48,6 +48,57 @@ def test_every_rule_is_counted_by_hand(spark):
     }
 
 
+MONTHS = TableContract(
+    "", ["policy"], combinations=[["unit", "month"]], ranges={"days": (1, 31, True)}, lies_by="unit"
+)
+
+
+def months(spark):
+    rows = [(1, 1, 31, "p"), (1, 1, 0, None), (1, 1, 5, "p"), (1, 2, 40, None), (2, 1, 1, "q"), (None, 1, 1, "p"), (None, 1, 1, "p")]
+    return spark.createDataFrame(rows, "unit bigint, month int, days int, policy string")
+
+
+def test_months_that_lie_by_a_column_are_counted_in_place(spark):
+    from dataclasses import replace
+
+    expected = {
+        ("months", "not_null", "policy"): 2, ("months", "accepted_range", "days"): 2,
+        ("months", "unique_combination", "unit+month"): 2,  # a key three times, a NULL one twice
+    }
+    lying = months(spark).repartition(3, "unit")
+    assert report({"months": lying}, {"months": MONTHS}) == expected
+    assert report({"months": lying}, {"months": replace(MONTHS, lies_by="")}) == expected
+    # with references, whose tags are shuffled
+    both = {"parents": TableContract("id", []), "months": replace(MONTHS, references={"policy": ("parents", "id")})}
+    got = report({**tables(spark), "months": lying}, both)
+    assert got == {**expected, ("parents", "unique", "id"): 1, ("months", "relationships", "policy"): 2}
+    tree = plan_of(contracts.contract_report({"months": lying}, {"months": MONTHS})).split("\n\n")[0]
+    assert "hashpartitioning(unit" not in tree and "Generate" in tree
+
+
+@pytest.mark.parametrize(
+    "kind, values, twice",
+    [
+        ("bigint", [1, 1, None, None, 2], 1),
+        ("date", [d("2020-01-01"), d("2020-01-01"), None, d("2020-01-02")], 1),
+        ("string", ["0" * 32, "0" * 32, "A" * 32, "a" * 32, "g" * 32, "g" * 32, "\x00" * 16, None, None], 2),
+    ],
+)
+def test_keys_of_every_type_stay_apart(spark, kind, values, twice):
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], f"id {kind}, n int")
+    twin = df.withColumn("n", F.lit(7))
+    contract = {"t": TableContract("id", []), "u": TableContract("", [], references={"id": ("t", "id")}, combinations=[["id", "n"]])}
+    got = report({"t": df, "u": twin}, contract)
+    nulls = 1 if values.count(None) > 1 else 0
+    assert got == {("t", "unique", "id"): twice, ("u", "relationships", "id"): 0, ("u", "unique_combination", "id+n"): twice + nulls}
+
+
+def test_numbers_are_found_among_texts(spark):
+    contract = {"t": TableContract("id", []), "u": TableContract("", [], references={"id": ("t", "id")})}
+    frames = {"t": spark.sql("SELECT '7' AS id"), "u": spark.sql("SELECT explode(array(7, 8)) AS id")}
+    assert report(frames, contract) == {("t", "unique", "id"): 0, ("u", "relationships", "id"): 1}
+
+
 def test_empty_tables_break_nothing(spark):
     empty = {name: df.limit(0) for name, df in tables(spark).items()}
     assert set(report(empty, {"parents": PARENT, "children": CHILD}).values()) == {0}
