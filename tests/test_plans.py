@@ -9,6 +9,7 @@ from ratewright.plans.queries import BUILDS, build_queries, resting_book
 from ratewright.session import RUNTIME_CONF, scratch_path, shared_dir, size_to
 from ratewright.sources import rest
 from ratewright.sources.sample_source import sample_partitions
+from ratewright.sources.sample_tables import SampleBook
 from tests.conftest import SF_DIR
 
 LARGE = [
@@ -127,6 +128,15 @@ def test_buckets_and_shuffles_grow_with_the_input(spark):
             spark.conf.set(k, v)
 
 
+def test_a_load_derives_its_bases_once(spark):
+    kept = SampleBook(spark, SF_DIR, keep=True)
+    for name in ("raw_policy_coverage", "raw_claim", "raw_vehicle"):
+        df = getattr(kept, name)()
+        assert "l_orderkey" not in plan_of(df)  # the order lines are not read again
+        plain = getattr(SampleBook(spark, SF_DIR), name)()
+        assert df.dtypes == plain.dtypes and df.exceptAll(plain).count() == plain.exceptAll(df).count() == 0
+
+
 def test_only_needed_columns_are_scanned(book):
     plan = plan_of(book.claim_triangle_cumulative)
     assert "c_nationkey" not in plan
