@@ -31,10 +31,10 @@ _ODD = r"[\x1c-\x1f\x85᠎​﻿]"
 _WIDE = r"[\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"  # white space beyond ASCII
 _SPACE = byte_class((0x09, 0x0D), (0x20, 0x20))
 _LETTER = byte_class((0x41, 0x5A), (0x61, 0x7A), (0xC3, 0xC3))
-CACHE_UNITS = 1_000_000  # per generation, of two; about 160 bytes each
+CACHE_UNITS = 500_000  # per generation, of two; about 200 bytes each
 CACHED_LENGTH = 40  # longer units are encoded but not kept
 ASK = 20_000  # units per call of the library
-AT_ONCE = 4 << 20  # bytes of text that callers encode at once
+AT_ONCE = 2 << 20  # bytes of text that callers encode at once
 
 
 def cut(column: pa.Array, spaced: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -55,7 +55,8 @@ def cut(column: pa.Array, spaced: bool) -> tuple[np.ndarray, np.ndarray, np.ndar
     # letters and a full stop or comma are two units
     after = np.zeros(n, dtype=bool)
     after[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0xBF) & (data[1:] != 0x97) & (data[1:] != 0xB7)
-    odd = np.concatenate(([0], np.cumsum(~(_LETTER[data] | after))))
+    odd = np.zeros(n + 1, dtype=np.int32 if n < 1 << 31 else np.int64)
+    np.cumsum(~(_LETTER[data] | after), out=odd[1:])
     last = data[ends - 1] if n else data
     split = ((last == 0x2E) | (last == 0x2C)) & (ends - begins > 1) & (odd[ends - 1] == odd[begins])
     mark = edge.copy()
@@ -85,8 +86,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        special = [re.escape(t.content) for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._whole = re.compile("|".join([_ODD, *special]), re.IGNORECASE)
+        special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._odd = re.compile(_ODD)
+        self._special = re.compile("|".join(map(re.escape, special)), re.IGNORECASE) if special else None
+        # a text without any of these has no special token: of each, a character without case, where it has one
+        marks = [next((c for c in s if c.isascii() and not c.isalpha()), None) for s in special]
+        self._marks = None if None in marks else sorted(set(marks))
         self._wide = re.compile(_WIDE)
         self._units = re.compile(units)
         self._spaced = units == SPACED
@@ -98,51 +103,56 @@ class Encoder:
     def _ids(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _ids_of_units(self, units: list[str]) -> dict[str, bytes]:
-        found: dict[str, bytes] = {}
+    def _ids_of_units(self, units: list[str]) -> list[bytes]:
+        found: list[bytes] = []
         for start in range(0, len(units), ASK):
             some = units[start : start + ASK]
             answer = self._tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
             ids = np.array(answer.ids, dtype="<u4").tobytes()
             at = 4 * np.searchsorted(np.array(answer.word_ids, dtype=np.int64), np.arange(len(some) + 1))
             edges = at.tolist()
-            found.update((u, ids[edges[i] : edges[i + 1]]) for i, u in enumerate(some))
+            found += [ids[low:high] for low, high in zip(edges[:-1], edges[1:])]
         return found
 
-    def _known(self, units) -> dict[str, bytes]:
-        """The ids of all of ``units`` and maybe more; asks the library for new ones."""
+    def _ids_of_distinct(self, units: list[str]) -> list[bytes]:
+        """The ids of each of ``units``, none twice; asks the library for those not kept."""
         if len(self._young) > self._cache_units:
             self._young, self._old = {}, self._young
         young, old = self._young, self._old
+        out = list(map(young.get, units))
+        missing = [i for i, ids in enumerate(out) if ids is None]
         new = []
-        for unit in units:
-            if unit not in young:
-                known = old.get(unit)
-                if known is None:
-                    new.append(unit)
-                else:
-                    young[unit] = known
-        young.update(self._ids_of_units(new))
-        self._long = [u for u in new if len(u) > CACHED_LENGTH]
-        return young
-
-    def _forget_long(self) -> None:
-        for unit in self._long:
-            del self._young[unit]
+        for i in missing:
+            known = old.get(units[i])
+            if known is None:
+                new.append(i)
+            else:
+                out[i] = young[units[i]] = known
+        for i, ids in zip(new, self._ids_of_units([units[i] for i in new])):
+            out[i] = ids
+            if len(units[i]) <= CACHED_LENGTH:
+                young[units[i]] = ids
+        return out
 
     def _by_patterns(self, text: str) -> bytes:
         units = self._units.findall(text)
-        found = self._known(set(units))
-        out = b"".join(map(found.__getitem__, units))
-        self._forget_long()
-        return out
+        distinct = list(dict.fromkeys(units))
+        found = dict(zip(distinct, self._ids_of_distinct(distinct)))
+        return b"".join(map(found.__getitem__, units))
+
+    def _goes_whole(self, text: str) -> bool:
+        if self._odd.search(text):
+            return True
+        if self._special is None or (self._marks is not None and not any(mark in text for mark in self._marks)):
+            return False
+        return self._special.search(text) is not None
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         out: list[bytes] = [b""] * len(texts)
         plain = list(texts)
         for i, text in enumerate(texts):
-            if self._whole.search(text):
+            if self._goes_whole(text):
                 out[i], plain[i] = self._ids(text), ""
             elif not self._by_arrays or (not text.isascii() and self._wide.search(text)):
                 out[i], plain[i] = self._by_patterns(text), ""
@@ -152,12 +162,15 @@ class Encoder:
         units = pa.Array.from_buffers(
             pa.large_string(), len(starts) - 1, [None, pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(data)]
         ).dictionary_encode()
-        distinct = units.dictionary.to_pylist()
+        distinct = units.dictionary.to_numpy(zero_copy_only=False).tolist()
         which = units.indices.to_numpy()
-        silent = [not self._spaced and (not u or u[0] in " \t\n\v\f\r") for u in distinct]
-        found = self._known(u for u, quiet in zip(distinct, silent) if not quiet)
-        each = [b"" if quiet else found[u] for u, quiet in zip(distinct, silent)]
-        self._forget_long()
+        if self._spaced:
+            each = self._ids_of_distinct(distinct)
+        else:
+            heard = [i for i, u in enumerate(distinct) if u and u[0] not in " \t\n\v\f\r"]
+            each = [b""] * len(distinct)
+            for i, data in zip(heard, self._ids_of_distinct([distinct[i] for i in heard])):
+                each[i] = data
         sizes = np.fromiter(map(len, each), np.int64, len(each)) // 4
         before = np.concatenate(([0], np.cumsum(sizes)))
         ids = np.frombuffer(b"".join(each), dtype="<u4")

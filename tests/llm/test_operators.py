@@ -123,6 +123,24 @@ def test_cached_ids_are_those_of_the_library(name, units):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_units_are_kept_within_bounds():
+    from tokenizers import Tokenizer
+
+    from ratewright.llm import tokens
+
+    # what a worker holds beside the JVM: two generations, and the arrays over the text of one call
+    assert 2 * tokens.CACHE_UNITS <= 1_000_000 and tokens.AT_ONCE <= 2 << 20
+    path = tokenizer("byte_bpe_50k.json")
+    encoder, library = Encoder(path, SPACED, cache_units=2), Tokenizer.from_file(path)
+    for text in ["one two three", "two " + "x" * 50, "one two three four", "a <|ENDOFTEXT|> b", "<| a |>", "a\x1cb"]:
+        ids = np.frombuffer(encoder.encode([text, text])[1], dtype="<u4").tolist()
+        assert ids == library.encode(text, add_special_tokens=False).ids
+        assert len(encoder._young) <= 6 and all(len(u) <= tokens.CACHED_LENGTH for u in encoder._young)
+    # only a text with a mark of a special token is searched for one
+    assert encoder._marks and not any(mark.isalpha() for mark in encoder._marks)
+    assert encoder._goes_whole("a <|endoftext|> b") and encoder._goes_whole("a\x1cb") and not encoder._goes_whole("<| a |>")
+
+
 def check_packed(packed, pieces):
     assert sorted((r.row, r.length) for r in packed) == sorted((r.row, r.length) for r in pieces)
     bins = collections.defaultdict(list)
