@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from ratewright.plans.queries import BUILDS, build_queries, resting_book
 from ratewright.session import RUNTIME_CONF, scratch_path, shared_dir, size_to
 from ratewright.sources import rest
-from ratewright.sources.sample_source import sample_partitions
+from ratewright.sources.sample_source import sample_partitions, sample_shuffles
 from ratewright.sources.sample_tables import SampleBook
 from tests.conftest import SF_DIR
 
@@ -128,6 +128,28 @@ def test_buckets_and_shuffles_grow_with_the_input(spark):
             spark.conf.set(k, v)
 
 
+def test_tasks_stay_small_on_larger_inputs(spark):
+    """Neither a split of a file nor a merged shuffle partition grows with the input."""
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+    root = scratch_path(spark, "split")
+    spark.range(0, 6_000_000, 1, 1).selectExpr("xxhash64(id) AS k").write.option("parquet.block.size", 1 << 20).parquet(root)
+    try:
+        size_to(spark, 1)
+        splits = spark.read.parquet(root).rdd.getNumPartitions()
+        assert splits >= 5  # 48 MB in one file
+        assert int(spark.conf.get(keys[1])) <= 1 << 20
+        spark.conf.set(f"ratewright.{keys[2]}", "4m")  # a caller's smaller splits stand
+        assert int(size_to(spark, 1).conf.get(keys[2])) == 4 << 20
+        for name in ("orders", "lineitem"):
+            spark.read.parquet(root).limit(600_000).coalesce(1).write.parquet(f"{root}_tables/{name}.parquet")
+        assert sample_shuffles(spark, f"{root}_tables") > 2 * sample_partitions(spark, f"{root}_tables")
+    finally:
+        spark.conf.unset(f"ratewright.{keys[2]}")
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_a_load_derives_its_bases_once(spark):
     kept = SampleBook(spark, SF_DIR, keep=True)
     for name in ("raw_policy_coverage", "raw_claim", "raw_vehicle"):
