@@ -57,6 +57,14 @@ def test_factors_expand_after_the_last_exchange(book, name):
     assert "Exchange" not in above
 
 
+@pytest.mark.parametrize("name", ["auto_exposure_attributes", "property_exposure_attributes"])
+def test_a_key_is_made_once_a_month(book, name):
+    """The hash of an exposure is computed below the list of its factors, not for each of them."""
+    tree = getattr(book, name)._jdf.queryExecution().executedPlan().toString()
+    factors = next(line for line in tree.splitlines() if "Generate inline" in line)
+    assert re.search(r"\), \[exposure_id#\d+\], false", factors)
+
+
 @pytest.fixture
 def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
