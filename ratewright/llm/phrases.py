@@ -13,6 +13,8 @@ tasks as large as any, and all other tasks send only what is not among these.
 
 One pass over the texts fills the word buckets. A second one turns the texts into streams
 of 64-bit word codes, 0 where a piece ends or a rare word stands, and counts the other words.
+The words that a sixteenth of the texts shows are spelled out there once; of these a task of
+the second pass sends its counts alone, packed, and it spells out only what is not among them.
 
 The candidates then go, at most about ``TRIE_PHRASES`` at a time, into a double-array trie
 over the bytes of word numbers. Each trie is broadcast; a task starts a state at every text
@@ -51,7 +53,7 @@ LONGEST = 5
 ROW_CODES = 32_768  # codes of a stream in one row
 HELD = 250_000  # counted phrases a task holds before it adds them up or passes them on
 SHARD_HELD = 500_000  # bucket numbers, of four bytes
-KNOWN = 1_000_000  # phrases found in a share of the streams that tasks need not send again
+KNOWN = 1_000_000  # words or phrases found in a share of the input that tasks need not send again
 SHARE = 16
 TASK_ROWS = 256  # rows of a stream, 64 MiB, that a task of that share reads
 SEGMENT_BYTES = 1 << 18  # text read at once; arrays over it take some hundred times as much
@@ -307,11 +309,11 @@ class _Tally:
     def batches(self) -> Iterator[pa.RecordBatch]:
         if self.rows:
             self.merge()
-            codes, _, langs, texts, counts, clash = self.parts[0]
+            codes, checks, langs, texts, counts, clash = self.parts[0]
             whole = pa.RecordBatch.from_arrays(
                 [
                     pa.nulls(len(codes), pa.binary()), pa.nulls(len(codes), pa.int32()), pa.array(codes.view(np.int64)),
-                    langs, texts, pa.array(counts), pa.array(clash),
+                    langs, texts, pa.array(counts), pa.array(clash), pa.array(checks.view(np.int64)), pa.nulls(len(codes), pa.binary()),
                 ],
                 names=_STREAM_FIELDS,
             )
@@ -320,7 +322,7 @@ class _Tally:
         self.parts, self.rows = [], 0
 
 
-_STREAM = "codes binary, own int, code bigint, lang string, word string, n bigint, clash boolean"
+_STREAM = "codes binary, own int, code bigint, lang string, word string, n bigint, clash boolean, twin bigint, blob binary"
 _STREAM_FIELDS = [f.split()[0] for f in _STREAM.split(", ")]
 
 
@@ -349,44 +351,114 @@ def _stream_rows(stream: np.ndarray, last: bool) -> tuple[list[tuple[bytes, int]
     return rows, stream[at:]
 
 
+@dataclass
+class _Frequent:
+    """Buckets of frequent words, and of known words the codes in order and the second codes."""
+
+    bits: Bits
+    codes: np.ndarray
+    twins: np.ndarray
+
+
+class _Words:
+    """The words of a task in frequent buckets: known ones by number, all others spelled out."""
+
+    def __init__(self, known: _Frequent):
+        self.known, self.counts, self.tally = known, np.zeros(len(known.codes), dtype=np.int64), _Tally()
+
+    def add(self, read: _Read, names: list[str], often: np.ndarray) -> Iterator[pa.RecordBatch]:
+        codes, twins, some = read.codes, read.twins, np.flatnonzero(often)
+        if not len(some):
+            return
+        order = some[np.argsort(codes[some], kind="stable")]
+        new = np.flatnonzero(np.concatenate(([True], codes[order][1:] != codes[order][:-1])))
+        first = order[new]
+        low, high = (f.reduceat(twins[order], new) for f in (np.minimum, np.maximum))
+        counts = np.diff(np.concatenate((new, [len(order)]))).astype(np.int64)
+        if len(self.counts):
+            at = np.minimum(np.searchsorted(self.known.codes, codes[first]), len(self.counts) - 1)
+            known = (self.known.codes[at] == codes[first]) & (self.known.twins[at] == low) & (low == high)
+            self.counts[at[known]] += counts[known]
+            first, low, high, counts = (v[~known] for v in (first, low, high, counts))
+        if not len(first):
+            return
+        langs = pa.array(names, pa.string()).take(pa.array(read.langs[first]))
+        self.tally.add(codes[first], low, langs, _gather(read.words, first), counts, low != high)
+        if self.tally.rows > 2 * HELD:
+            self.tally.merge()
+            if self.tally.rows > HELD:
+                yield from self.tally.batches()
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        yield from self.tally.batches()
+        seen = np.flatnonzero(self.counts)
+        for number in np.unique(seen >> RANGE_BITS).tolist():
+            ids = seen[seen >> RANGE_BITS == number]
+            yield _row(own=number, blob=pack(ids & ((1 << RANGE_BITS) - 1), self.counts[ids]))
+
+
 def _spell(seed: int, shared):
     """Streams of codes in frequent buckets, and these words with their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally, rest = _Tally(), np.empty(0, np.uint64)
+        words, rest = _Words(shared.value), np.empty(0, np.uint64)
         for read, names in _read(batches, seed, True):
-            codes, twins, n = read.codes, read.twins, len(read.codes)
-            often = is_set(shared.value, codes)
-            stream = np.insert(np.where(often, codes, np.uint64(0)), np.flatnonzero(read.begins), np.uint64(0))
+            often = is_set(shared.value.bits, read.codes)
+            stream = np.insert(np.where(often, read.codes, np.uint64(0)), np.flatnonzero(read.begins), np.uint64(0))
             rows, rest = _stream_rows(np.concatenate((rest, _without_lone(stream))), False)
             yield from _streams(rows)
-            some = np.flatnonzero(often)
-            if not len(some):
-                continue
-            order = some[np.argsort(codes[some], kind="stable")]
-            new = np.flatnonzero(np.concatenate(([True], codes[order][1:] != codes[order][:-1])))
-            first = order[new]
-            low, high = (f.reduceat(twins[order], new) for f in (np.minimum, np.maximum))
-            counts = np.diff(np.concatenate((new, [len(order)]))).astype(np.int64)
-            langs = pa.array(names, pa.string()).take(pa.array(read.langs[first]))
-            tally.add(codes[first], low, langs, _gather(read.words, first), counts, low != high)
-            if tally.rows > 2 * HELD:
-                tally.merge()
-                if tally.rows > HELD:
-                    yield from tally.batches()
+            yield from words.add(read, names, often)
         yield from _streams(_stream_rows(rest, True)[0])
-        yield from tally.batches()
+        yield from words.rows()
+
+    return run
+
+
+def _spell_words(seed: int, shared):
+    """The words of ``_spell`` without the streams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _Words(shared.value)
+        for read, names in _read(batches, seed, True):
+            yield from words.add(read, names, is_set(shared.value.bits, read.codes))
+        yield from words.rows()
 
     return run
 
 
+def _row(codes=None, own=None, blob=None) -> pa.RecordBatch:
+    given = {"codes": pa.array([codes], pa.binary()), "own": pa.array([own], pa.int32()), "blob": pa.array([blob], pa.binary())}
+    none = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.int64())
+    absent = {name: pa.nulls(1, kind) for name, kind in zip(("code", "lang", "word", "n", "clash", "twin"), none)}
+    return pa.RecordBatch.from_pydict({name: (given | absent)[name] for name in _STREAM_FIELDS})
+
+
 def _streams(rows: list[tuple[bytes, int]]) -> Iterator[pa.RecordBatch]:
     for codes, own in rows:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([codes], pa.binary()), pa.array([own], pa.int32())]
-            + [pa.nulls(1, t) for t in (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.bool_())],
-            names=_STREAM_FIELDS,
-        )
+        yield _row(codes, own)
+
+
+def _known_words(rows: DataFrame, seed: int, bits: Bits, least: int, total: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """(code, twin, lang, word) of at most ``KNOWN`` words that a share of the texts shows, and their codes in order with the second codes.
+
+    Codes that two words of the share have are left out: these words are spelled out by all tasks.
+    """
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast(_Frequent(bits, np.empty(0, np.uint64), np.empty(0, np.uint64)))
+    some = rows.where(F.pmod(F.xxhash64("text"), F.lit(SHARE)) == 0).repartition(max(1, total // (SHARE * TASK_ROWS * ROW_CODES)))
+    word = F.struct("twin", "lang", "word")
+    met = (
+        some.mapInArrow(_spell_words(seed, shared), _STREAM)
+        .groupBy("code")
+        .agg(F.min(word).alias("word"), F.max(word).alias("other"), F.sum("n").alias("n"), F.bool_or("clash").alias("clash"))
+        .where((F.col("n") >= max(2, least // (2 * SHARE))) & ~F.col("clash") & (F.col("word") == F.col("other")))
+    )
+    known = materialize(met.orderBy(F.desc("n"), "code").limit(KNOWN).select("code", "word.*"), "known_words")
+    shared.unpersist()
+    found = known.select("code", "twin").toArrow()  # KNOWN at most
+    codes, twins = (found.column(c).to_numpy().view(np.uint64) for c in ("code", "twin"))
+    order = np.argsort(codes)
+    return known, codes[order], twins[order]
 
 
 def word_streams(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -396,13 +468,24 @@ def word_streams(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame, Dat
     for seed in range(8):
         counted = materialize(rows.mapInArrow(_count_words(seed), "range int, blob binary, lang string, n bigint"), "word_buckets")
         bits = frequent_buckets(counted.where("blob IS NOT NULL").select("range", "blob"), least)
-        shared = spark.sparkContext.broadcast(bits)
+        totals = counted.where("lang IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n"))
+        known, codes, twins = _known_words(rows, seed, bits, least, totals.agg(F.sum("n")).first()[0] or 0)
+        shared = spark.sparkContext.broadcast(_Frequent(bits, codes, twins))
         encoded = materialize(rows.mapInArrow(_spell(seed, shared), _STREAM), "streams")
         shared.unpersist()
+        shards = encoded.where("blob IS NOT NULL").select(F.col("own").alias("range"), "blob")
+        numbers = spark.createDataFrame(pa.table({"number": pa.array(np.arange(len(codes))), "code": pa.array(codes.view(np.int64))}))
+        listed = (
+            _summed(shards, _numbered, "number bigint, a bigint")
+            .join(numbers, "number")
+            .join(known, "code")
+            .select("code", "lang", "word", F.col("a").alias("n"), F.lit(False).alias("clash"))
+        )
         # dealt by code alone, so that two words of one code meet; tasks have added up their own rows
         words = materialize(
             encoded.where("code IS NOT NULL")
             .select("code", "lang", "word", "n", "clash")
+            .unionByName(listed)
             .repartition("code")
             .groupBy("code", "lang", "word")
             .agg(F.sum("n").alias("n"), F.bool_or("clash").alias("clash")),
@@ -410,7 +493,6 @@ def word_streams(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame, Dat
         )
         twice = words.groupBy("code").agg(F.count(F.lit(1)).alias("rows"), F.bool_or("clash").alias("clash"))
         if not twice.where("clash OR rows > 1").limit(1).count():
-            totals = counted.where("lang IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n"))
             streams = encoded.where("codes IS NOT NULL").select("codes", "own")
             return streams, words.where(F.col("n") >= least).drop("clash"), totals
     raise RuntimeError("words of equal codes under eight seeds")

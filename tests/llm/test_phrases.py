@@ -95,6 +95,23 @@ def test_tables_without_phrases(spark):
     assert found(spark, [("one. one. one", "en")], 2) == []
 
 
+def test_words_of_a_share_are_not_spelled_out_by_every_task(spark, monkeypatch):
+    tables, original = {}, phrases.materialize
+    monkeypatch.setattr(phrases, "materialize", lambda df, name: tables.setdefault(name, original(df, name)))
+    monkeypatch.setattr(phrases, "SHARE", 2)
+    vocabulary = [f"w{i}" for i in range(50)]
+    rows = texts(11, 400, vocabulary) + [("rare rare rare", "xx")] * 20
+    given = docs(spark, rows).repartition(8)
+    _, words, totals = phrases.word_streams(given, 10)
+    spelled = tables["streams"].where("code IS NOT NULL")
+    assert spelled.count() <= 8  # no more than one language's single word is unknown, once a task
+    expected = collections.Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        expected.update((lang, w) for w in re.findall("[^\x20\x09.,;:!?\x0a-\x0d]+", text))
+    assert {(r.lang, r.word): r.n for r in words.collect()} == {k: n for k, n in expected.items() if n >= 10}
+
+
 def test_a_clash_of_codes_is_noticed_and_other_codes_are_taken(spark, monkeypatch):
     rows = [("red fox blue fox red fox", "en")] * 3
     seen, original = [], phrases._spell
