@@ -28,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ratewright.llm.common import materialize
 from ratewright.llm.tokens import AT_ONCE, PLAIN, encoder
 from ratewright.llm.words import chunks
 
@@ -195,7 +196,8 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
     files = spark.read.format("binaryFile").load(path).select("content")
     found = files.mapInArrow(_documents(with_ids), schema + (", ids binary" if with_ids else ""))
     # ids before each segment: within its part, and before the part; a row per part meets in one task
-    sizes = files.mapInArrow(_sizes, "part bigint, number bigint, n bigint")
+    # and the files are read for it once, not for both sums
+    sizes = materialize(files.mapInArrow(_sizes, "part bigint, number bigint, n bigint"), "segment_sizes")
     within = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     parts = sizes.groupBy("part").agg(F.sum("n").alias("n"))
     across = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -9,7 +9,9 @@ other run without white space. Texts for which a cut could matter (special token
 the text, or characters on whose being white space libraries differ) go to the
 library whole; texts with white space beyond ASCII are cut by the patterns themselves.
 All others are cut as UTF-8 bytes by array operations, their units told apart by one
-dictionary encoding, and their ids gathered from those of the distinct units.
+dictionary encoding, and their ids gathered from those of the distinct units. A unit
+of letters alone is one word to the pre-tokenizer, so it goes straight to the
+library's model, spelt as the library spells each letter.
 """
 
 from __future__ import annotations
@@ -96,6 +98,9 @@ class Encoder:
         self._units = re.compile(units)
         self._spaced = units == SPACED
         self._by_arrays = units in (SPACED, PLAIN)
+        self._drops_space = units == PLAIN
+        self._word = re.compile(rf"{' ?' if self._spaced else ''}{_LETTERS}+")
+        self._spelling = self._spelt()
         self._cache_units = cache_units
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
@@ -103,7 +108,51 @@ class Encoder:
     def _ids(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _spelt(self) -> dict[int, str] | None:
+        """How the library gives its model each letter, and a space before them; none where it is not letter by letter."""
+        library = self._tokenizer
+        if library.pre_tokenizer is None or library.truncation or library.padding:
+            return None
+
+        def given(text: str) -> list[str]:
+            clean = library.normalizer.normalize_str(text) if library.normalizer else text
+            return [piece for piece, _ in library.pre_tokenizer.pre_tokenize_str(clean)]
+
+        letters = [c for c in map(chr, range(0x100)) if re.fullmatch(_LETTERS, c)]
+        lead = " " if self._spaced else ""
+        spelling = {ord(c): "".join(given(c)) for c in [*letters, *lead]}
+        for word in ("".join(letters), "".join(reversed(letters))):
+            if any(given(w) != [w.translate(spelling)] for w in (word, lead + word)):
+                return None
+        return spelling
+
+    def _ids_of_words(self, words: list[str]) -> list[bytes]:
+        """The ids of runs of letters, asked of the library's model without its normaliser and pre-tokenizer."""
+        found: list[bytes] = []
+        tokenize = self._tokenizer.model.tokenize
+        for start in range(0, len(words), ASK):
+            ids, stops = [], [0]
+            for word in "\n".join(words[start : start + ASK]).translate(self._spelling).split("\n"):
+                ids += [token.id for token in tokenize(word)]
+                stops.append(4 * len(ids))
+            data = np.array(ids, dtype="<u4").tobytes()
+            found += [data[low:high] for low, high in zip(stops[:-1], stops[1:])]
+        return found
+
     def _ids_of_units(self, units: list[str]) -> list[bytes]:
+        found = [b""] * len(units)
+        words, others = [], []
+        for i, unit in enumerate(units):
+            if self._spelling is not None and self._word.fullmatch(unit):
+                words.append(i)
+            elif not (self._drops_space and unit.isspace()):
+                others.append(i)
+        for places, ask in ((words, self._ids_of_words), (others, self._ids_of_any)):
+            for i, ids in zip(places, ask([units[i] for i in places])):
+                found[i] = ids
+        return found
+
+    def _ids_of_any(self, units: list[str]) -> list[bytes]:
         found: list[bytes] = []
         for start in range(0, len(units), ASK):
             some = units[start : start + ASK]
@@ -164,13 +213,7 @@ class Encoder:
         ).dictionary_encode()
         distinct = units.dictionary.to_numpy(zero_copy_only=False).tolist()
         which = units.indices.to_numpy()
-        if self._spaced:
-            each = self._ids_of_distinct(distinct)
-        else:
-            heard = [i for i, u in enumerate(distinct) if u and u[0] not in " \t\n\v\f\r"]
-            each = [b""] * len(distinct)
-            for i, data in zip(heard, self._ids_of_distinct([distinct[i] for i in heard])):
-                each[i] = data
+        each = self._ids_of_distinct(distinct)
         sizes = np.fromiter(map(len, each), np.int64, len(each)) // 4
         before = np.concatenate(([0], np.cumsum(sizes)))
         ids = np.frombuffer(b"".join(each), dtype="<u4")

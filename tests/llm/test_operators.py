@@ -141,6 +141,22 @@ def test_units_are_kept_within_bounds():
     assert encoder._goes_whole("a <|endoftext|> b") and encoder._goes_whole("a\x1cb") and not encoder._goes_whole("<| a |>")
 
 
+@pytest.mark.parametrize("name,units", [("byte_bpe_50k.json", SPACED), ("word_bpe_49k.json", PLAIN)])
+def test_words_of_letters_go_to_the_model_alone(name, units, monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = tokenizer(name)
+    encoder, library = Encoder(path, units), Tokenizer.from_file(path)
+    letters = [c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº"]
+    rng = random.Random(7)
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 12))) for _ in range(3000)]
+    asked = []
+    monkeypatch.setattr(encoder, "_ids_of_any", lambda units: asked.extend(units) or [b""] * len(units))
+    text = " ".join(words)
+    assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert asked == []
+
+
 def check_packed(packed, pieces):
     assert sorted((r.row, r.length) for r in packed) == sorted((r.row, r.length) for r in pieces)
     bins = collections.defaultdict(list)
@@ -435,6 +451,13 @@ def test_planes_round_trip(values, bits):
     assert bitplanes.join_planes(bitplanes.split_planes(ids, bits), len(ids)).tolist() == values
 
 
+def test_footers_are_read_once(spark, tmp_path):
+    path = str(tmp_path / "once")
+    bitplanes.write_token_files(docs(spark, EDGES), path, tokenizer("word_bpe_49k.json"))
+    plan = bitplanes.read_token_files(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("binaryFile") == 1
+
+
 @pytest.mark.parametrize("bits", [False, True])
 def test_token_files_round_trip(spark, monkeypatch, bits):
     from tokenizers import Tokenizer
