@@ -96,6 +96,8 @@ class Grouping:
     def __init__(self, sizes: list[int], capacity: int) -> None:
         self.sizes, self.capacity = sizes, capacity
         self.bins: list[list[int]] = []
+        self.fills: list[int] = []
+        self._fitness: tuple[int, float] | None = None
 
     @classmethod
     def of(cls, sizes: list[int], capacity: int, places: list[int]) -> Grouping:
@@ -103,42 +105,57 @@ class Grouping:
         by_bin: dict[int, list[int]] = {}
         for item, place in enumerate(places):
             by_bin.setdefault(place, []).append(item)
-        out.bins = list(by_bin.values())
+        for group in by_bin.values():
+            out.add_bin(group, out.fill(group))
         return out
 
     def fill(self, group: list[int]) -> int:
-        return sum(self.sizes[i] for i in group)
+        return sum(map(self.sizes.__getitem__, group))
+
+    def add_bin(self, group: list[int], fill: int) -> None:
+        self.bins.append(group)
+        self.fills.append(fill)
+        self._fitness = None
+
+    def by_fill(self, reverse: bool = False) -> list[int]:
+        """Bin numbers, emptiest first, or fullest first."""
+        return sorted(range(len(self.bins)), key=self.fills.__getitem__, reverse=reverse)
 
     def add_best_fit(self, items: list[int], shuffle: random.Random | None = None) -> None:
         """Place items, longest first, each where the least room stays."""
-        open_bins: list[list[list[int]]] = [[] for _ in range(self.capacity + 1)]
+        sizes, capacity, bins, fills = self.sizes, self.capacity, self.bins, self.fills
+        open_bins: list[list[int]] = [[] for _ in range(capacity + 1)]
         rooms = 0  # bit r is set when a bin with r free tokens exists
-        for group in self.bins:
-            room = self.capacity - self.fill(group)
-            open_bins[room].append(group)
-            rooms |= 1 << room
+        for place, fill in enumerate(fills):
+            open_bins[capacity - fill].append(place)
+            rooms |= 1 << (capacity - fill)
         if shuffle:
-            order = sorted(items, key=lambda i: self.sizes[i] * (0.9 + 0.2 * shuffle.random()), reverse=True)
+            order = sorted(items, key=lambda i: sizes[i] * (0.9 + 0.2 * shuffle.random()), reverse=True)
         else:
-            order = sorted(items, key=lambda i: self.sizes[i], reverse=True)
+            order = sorted(items, key=sizes.__getitem__, reverse=True)
         for item in order:
-            size = self.sizes[item]
+            size = sizes[item]
             fitting = rooms >> size
             if fitting:
                 room = size + (fitting & -fitting).bit_length() - 1
-                group = open_bins[room].pop()
+                place = open_bins[room].pop()
                 if not open_bins[room]:
                     rooms &= ~(1 << room)
-                group.append(item)
+                bins[place].append(item)
+                fills[place] += size
             else:
-                group, room = [item], self.capacity
-                self.bins.append(group)
-            open_bins[room - size].append(group)
+                place, room = len(bins), capacity
+                bins.append([item])
+                fills.append(size)
+            open_bins[room - size].append(place)
             rooms |= 1 << (room - size)
+        self._fitness = None
 
     def fitness(self) -> tuple[int, float]:
         """Fewer bins first, then more unequal fills."""
-        return -len(self.bins), sum((self.fill(g) / self.capacity) ** 2 for g in self.bins)
+        if self._fitness is None:
+            self._fitness = -len(self.bins), sum((fill / self.capacity) ** 2 for fill in self.fills)
+        return self._fitness
 
     def places(self) -> list[int]:
         out = [0] * len(self.sizes)
@@ -151,16 +168,17 @@ class Grouping:
 def crossover(one: Grouping, two: Grouping, rng: random.Random) -> Grouping:
     """``one`` with well-filled bins of ``two`` injected; displaced pieces go in best-fit."""
     child = Grouping(one.sizes, one.capacity)
-    full = sorted(two.bins, key=two.fill, reverse=True)
-    injected = [list(g) for g in full[: max(1, int(len(full) * rng.uniform(0.2, 0.7)))]]
-    taken = {i for g in injected for i in g}
+    full = two.by_fill(reverse=True)
+    injected = full[: max(1, int(len(full) * rng.uniform(0.2, 0.7)))]
+    taken = {i for place in injected for i in two.bins[place]}
     displaced: list[int] = []
-    for group in one.bins:
+    for group, fill in zip(one.bins, one.fills):
         if taken.isdisjoint(group):
-            child.bins.append(list(group))
+            child.add_bin(list(group), fill)
         else:
             displaced.extend(i for i in group if i not in taken)
-    child.bins.extend(injected)
+    for place in injected:
+        child.add_bin(list(two.bins[place]), two.fills[place])
     child.add_best_fit(displaced)
     return child
 
@@ -168,12 +186,14 @@ def crossover(one: Grouping, two: Grouping, rng: random.Random) -> Grouping:
 def mutate(one: Grouping, rng: random.Random) -> Grouping:
     """The emptiest bins and some others dissolved and filled anew."""
     child = Grouping(one.sizes, one.capacity)
-    order = sorted(one.bins, key=one.fill)
+    order = one.by_fill()
     count = max(2, len(order) // 20)
     gone = order[:count] + rng.sample(order[count:], min(count, len(order) - count))
-    chosen = {id(g) for g in gone}
-    child.bins = [list(g) for g in one.bins if id(g) not in chosen]
-    child.add_best_fit([i for g in gone for i in g], rng)
+    chosen = set(gone)
+    for place, group in enumerate(one.bins):
+        if place not in chosen:
+            child.add_bin(list(group), one.fills[place])
+    child.add_best_fit([i for place in gone for i in one.bins[place]], rng)
     return child
 
 

@@ -197,6 +197,7 @@ def test_genetic_steps_keep_every_piece_and_do_not_get_worse():
     for child in (packing.crossover(one, two, rng), packing.mutate(one, rng)):
         assert sorted(i for g in child.bins for i in g) == list(range(60))
         assert max(map(child.fill, child.bins)) <= 1024
+        assert child.fills == list(map(child.fill, child.bins))  # kept, not summed for each comparison
     worst = list(range(60))
     best = packing.evolve(sizes, 1024, [worst], 1, generations=30)
     assert max(best) + 1 <= len(one.bins)
