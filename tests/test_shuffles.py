@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from ratewright.session import materialize, scratch_path
+from ratewright.session import materialize, scratch_path, size_to
 from ratewright.sources import rest
 from ratewright.sources.sample_tables import SampleBook
 from tests.conftest import SF_DIR
@@ -81,3 +81,17 @@ def test_a_hot_key_is_found_without_counting_every_key(spark):
     none = even.withColumn("k", F.when(F.col("id") < 3000, F.lit(None).cast("bigint")).otherwise(F.col("id")))
     assert not rest.is_hot(even, "k", 16) and rest.is_hot(one, "k", 16) and rest.is_hot(none, "k", 16)
     assert not rest.is_hot(even.where("false"), "k", 16)
+
+
+def test_results_are_packed_tightly_unless_the_caller_chose(spark):
+    key = "spark.sql.parquet.compression.codec"
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")}
+    try:
+        spark.conf.unset(key)
+        assert size_to(spark, 1).conf.get(key) == "zstd"
+        spark.conf.set(key, "gzip")
+        assert size_to(spark, 1).conf.get(key) == "gzip"
+    finally:
+        spark.conf.unset(key)
+        for k, v in kept.items():
+            spark.conf.set(k, v)
